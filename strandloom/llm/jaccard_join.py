@@ -39,18 +39,20 @@ from strandloom.operators.graph import connected_components
 from strandloom.plans.snapshot import snapshot
 
 #: Entries of the broadcast table of frequent shingles (12 bytes each), and the least count that makes one.
-FREQUENT_MOST, FREQUENT_LEAST = 1 << 20, 12
+FREQUENT_MOST, FREQUENT_LEAST = 1 << 20, 5
 #: Shingles that a task counts at a time, and sets that it numbers together.
 COUNT_AT_ONCE, BLOCK_NODES, BLOCK_ENTRIES = 1 << 21, 1 << 15, 1 << 21
 #: Digests that may be broadcast to pick the sets to verify; beyond it a shuffled join picks them.
 DIGESTS_MOST = 1 << 21
 #: Prefix entries aimed at in a range.
-RANGE_ENTRIES = 150_000
+RANGE_ENTRIES, DOCUMENT_ENTRIES = 150_000, 150
+#: Parts of the hash space whose counts bound a pair's distance from below.
+PARTS = 256
 
 _SCHEMA = T.StructType(
     [
         T.StructField("doc_id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("digest", T.LongType()),
-        T.StructField("key", T.LongType()), T.StructField("rng", T.IntegerType()), T.StructField("block", T.LongType()),
+        T.StructField("key", T.LongType()), T.StructField("parts", T.BinaryType()), T.StructField("rng", T.IntegerType()), T.StructField("block", T.LongType()),
         T.StructField("tok", T.BinaryType()), T.StructField("idx", T.BinaryType()), T.StructField("size", T.BinaryType()), T.StructField("mid", T.BinaryType()),
     ]
 )
@@ -75,7 +77,7 @@ def frequent_shingles(docs: DataFrame, text: str) -> tuple[np.ndarray, np.ndarra
             if not held:
                 return None
             u, c = np.unique(np.concatenate(held), return_counts=True)
-            keep = c >= 3
+            keep = c >= 2
             return pa.RecordBatch.from_arrays([pa.array(u[keep].view(np.int64)), pa.array(c[keep].astype(np.int64))], ["tok", "c"])
 
         for b in batches:
@@ -144,7 +146,7 @@ def _postings(docs: DataFrame, doc_id: str, text: str, tok: np.ndarray, cnt: np.
             edge = np.flatnonzero(np.diff(r)) + 1
             cut = np.concatenate([[0], edge, [len(r)]])
             pairs = list(zip(cut[:-1], cut[1:], strict=True))
-            cols = [pa.nulls(len(pairs), pa.int64())] * 4 + [pa.array(r[cut[:-1]]), pa.array([block_id()] * len(pairs), pa.int64())]
+            cols = [pa.nulls(len(pairs), pa.int64())] * 4 + [pa.nulls(len(pairs), pa.binary()), pa.array(r[cut[:-1]]), pa.array([block_id()] * len(pairs), pa.int64())]
             cols += [pa.array([x[a:b].tobytes() for a, b in pairs], pa.binary()) for x in (low, i, size, mid)]
             return pa.RecordBatch.from_arrays(cols, names)
 
@@ -152,8 +154,9 @@ def _postings(docs: DataFrame, doc_id: str, text: str, tok: np.ndarray, cnt: np.
             ids = b.column(0).to_pylist()
             rows = []
             for doc, s in zip(ids, tk.shingle_sets(b.column(1)), strict=True):
-                d = _digest(s)
+                d, parts = _digest(s), None
                 if len(s) and d not in number:
+                    parts = np.minimum(np.bincount((s & np.uint64(PARTS - 1)).astype(np.int64), minlength=PARTS), 255).astype(np.uint8).tobytes()
                     if len(toks) >= BLOCK_NODES or n_entries >= BLOCK_ENTRIES:
                         yield flush()
                         blocks += 1
@@ -164,10 +167,10 @@ def _postings(docs: DataFrame, doc_id: str, text: str, tok: np.ndarray, cnt: np.
                     sizes.append(min(65535, round(2000 * math.log(len(s)))))
                     mids.append(mid)
                     n_entries += len(p)
-                rows.append((doc, len(s), d, (block_id() << 16) | number[d] if len(s) else None))
+                rows.append((doc, len(s), d, (block_id() << 16) | number[d] if len(s) else None, parts))
             if rows:
-                cols = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
-                yield pa.RecordBatch.from_arrays(cols + [pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.int64())] + [pa.nulls(len(rows), pa.binary())] * 4, names)
+                *cols, parts = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols), pa.array(parts, pa.binary())] + [pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.int64())] + [pa.nulls(len(rows), pa.binary())] * 4, names)
         last = flush()
         if last is not None:
             yield last
@@ -235,7 +238,7 @@ def _sets(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
                     at = np.searchsorted(pick, d)
                     if at == len(pick) or pick[at] != d:
                         continue
-                if len(seen) < 1_000_000:
+                if len(seen) < 100_000:
                     seen.add(d)
                 d_out.append(d)
                 s_out.append(s.tobytes())
@@ -248,6 +251,27 @@ def _sets(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
     return snapshot(got, "jj-sets").dropDuplicates(["digest"])
 
 
+def _near(pairs: DataFrame, sketch: DataFrame, t: float) -> DataFrame:
+    """The pairs whose counts by part don't prove them too far apart.
+
+    The sum of differences of the counts is at most the size of the symmetric
+    difference, which for a link is at most (1 - t) / (1 + t) of both sizes
+    together. Counts stop at 255, which can only lessen the differences.
+    """
+    share = (1 - t) / (1 + t)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x, y = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint8).reshape(-1, PARTS).astype(np.int16) for i in (2, 4))
+            n = b.column(3).to_numpy() + b.column(5).to_numpy()
+            ok = np.abs(x - y).sum(1) <= share * n + 1e-6
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(ok)), b.column(1).filter(pa.array(ok))], ["a", "b"])
+
+    sa = sketch.select(F.col("digest").alias("a"), F.col("parts").alias("x"), F.col("n").alias("nx"))
+    sb = sketch.select(F.col("digest").alias("b"), F.col("parts").alias("y"), F.col("n").alias("ny"))
+    return pairs.join(sb, "b").join(sa, "a").select("a", "b", "x", "nx", "y", "ny").mapInArrow(keep, "a long, b long")
+
+
 def _measure(pairs: DataFrame, sets: DataFrame, t: tuple[int, int]) -> DataFrame:
     """(a, b, dist, linked) of digest pairs, by exact counts over whole sets."""
 
@@ -284,18 +308,18 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     """
     num, den = threshold
     tok, cnt = frequent_shingles(docs, text)
-    chars = docs.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
-    ranges = 1 << max(6, math.ceil(math.log2(max(1, chars / 6 * (1 - num / den)) / RANGE_ENTRIES + 1)))
+    ranges = 1 << max(6, math.ceil(math.log2(docs.count() * DOCUMENT_ENTRIES / RANGE_ENTRIES + 1)))
     made = snapshot(_postings(docs, doc_id, text, tok, cnt, ranges, threshold), "jj-postings")
     rows = made.where("rng is null").select("doc_id", "n", "digest", "key")
     node = rows.where("key is not null").groupBy("key").agg(F.first("digest").alias("digest"))
+    sketch = made.where("parts is not null").select("digest", "parts", "n").dropDuplicates(["digest"])
     regions = _regions(made.where("rng is not null"), num / den)
     pivot = node.select(F.col("key").alias("pivot"), F.col("digest").alias("p"))
     # one row for each set, region and pivot; equal sets of different tasks meet here
     regions = regions.join(node, "key").join(pivot, "pivot").groupBy("region", F.col("digest").alias("x"), "p").agg(F.first("size").alias("size"))
     regions = snapshot(regions, "jj-regions")
     one = regions.where("x <> p").select(F.col("x").alias("a"), F.col("p").alias("b")).distinct()
-    one = snapshot(one, "jj-pairs")
+    one = snapshot(_near(one, sketch, num / den), "jj-pairs")
     wanted = one.select(F.col("a").alias("digest")).union(one.select(F.col("b").alias("digest"))).distinct()
     first = snapshot(_measure(one, _sets(docs, text, wanted), threshold), "jj-round1")
     links = first.where("linked").select("a", "b")
@@ -305,7 +329,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     known = regions.join(label.withColumnRenamed("node", "x"), "x", "left").withColumn("c", F.coalesce("component", "x")).drop("component")
     open_ = known.groupBy("region").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("region")
     known = known.join(open_, "region", "left_semi")
-    known = known.join(first.select(F.col("a").alias("x"), F.col("b").alias("p"), "dist"), ["x", "p"], "left").withColumn("dist", F.coalesce("dist", F.lit(0.0)))
+    known = known.join(first.select(F.col("a").alias("x"), F.col("b").alias("p"), "dist"), ["x", "p"], "left")
     known = snapshot(known, "jj-open")
     per = known.groupBy("region", "c").agg(F.count("*").alias("k"))
     largest = per.groupBy("region").agg(F.max(F.struct("k", "c"))["c"].alias("main"))
@@ -313,10 +337,10 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     inner = known.where("x <> p").select("region", F.col("x").alias("b"), F.col("c").alias("cb"), F.col("size").alias("sb"), F.col("dist").alias("db"))
     gap = round(2000 * math.log(den / num)) + 2
     window = 1 - num / den + 1e-9
-    two = outer.join(inner, "region").where((F.col("ca") != F.col("cb")) & (F.abs(F.col("sa") - F.col("sb")) <= gap) & (F.abs(F.col("da") - F.col("db")) <= window))
+    two = outer.join(inner, "region").where((F.col("ca") != F.col("cb")) & (F.abs(F.col("sa") - F.col("sb")) <= gap) & F.coalesce(F.abs(F.col("da") - F.col("db")) <= window, F.lit(True)))
     two = two.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     done = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    two = snapshot(two.join(done, ["a", "b"], "left_anti"), "jj-pairs2")
+    two = snapshot(_near(two.join(done, ["a", "b"], "left_anti"), sketch, num / den), "jj-pairs2")
     if not two.isEmpty():
         wanted = two.select(F.col("a").alias("digest")).union(two.select(F.col("b").alias("digest"))).distinct()
         more = snapshot(_measure(two, _sets(docs, text, wanted), threshold).where("linked").select("a", "b"), "jj-round2")

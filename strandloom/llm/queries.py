@@ -4,16 +4,51 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strandloom.llm.jaccard_join import jaccard_components
+from strandloom.llm.packing import pack_documents
+from strandloom.llm.quality import score_quality
+from strandloom.llm.substring_dedup import deduplicate
+from strandloom.llm.toxicity import score_toxicity
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: how much went, the spans as start-end text, and the digest of what stays."""
+    done = deduplicate(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda acc, x: acc + x["end"] - x["start"])
+    spans = F.array_join(F.transform("removed", lambda x: F.concat_ws("-", x["start"].cast("string"), x["end"].cast("string"))), ",")
+    return done.select("doc_id", F.size("removed").cast("long").alias("n_removed"), gone.alias("removed_chars"), spans.alias("removed_spans"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return jaccard_components(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_packing": op4_packing,
+    "op5_toxicity": op5_toxicity,
+    "op7_substring_dedup": op7_substring_dedup,
+    "op8_quality": op8_quality,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
