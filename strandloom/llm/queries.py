@@ -13,9 +13,11 @@ from strandloom.llm.packing import pack_documents
 from strandloom.llm.quality import score_quality
 from strandloom.llm.substring_dedup import deduplicate
 from strandloom.llm.toxicity import score_toxicity
+from strandloom.plans.session import bound_arrow_batches
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_arrow_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from strandloom.llm import textkit as tk
 from strandloom.llm.labels import fold, with_label
 
-SLOTS, CHUNK, DISCOUNT, WINDOW = 1 << 21, 1 << 16, 0.75, 4
+SLOTS, CHUNK, DISCOUNT, WINDOW = 1 << 21, 1 << 16, 2.5, 4
 #: Of five folds by crc32: 0 is held out, 1 fits the logistic function (at most so many rows of three numbers), 2-4 are counted.
 FOLDS, HELD_OUT, CALIBRATION, CALIBRATION_ROWS = 5, 0, 1, 20_000
 TABLES = ("all", "toxic", "ordinary")
@@ -99,9 +99,9 @@ def log_ratio(maps: dict[str, np.ndarray]) -> np.ndarray:
     for name in TABLES[1:]:
         n = DISTINCT[_popcount(maps[name])]
         total = max(n.sum(), 1.0)
-        types = np.count_nonzero(n)
-        back = DISCOUNT * types / total if types else 1.0
-        logs.append(np.log(np.maximum(n - DISCOUNT, 0) / total + back * shared))
+        taken = np.minimum(n, DISCOUNT)
+        back = taken.sum() / total if n.any() else 1.0
+        logs.append(np.log((n - taken) / total + back * shared))
     return (logs[0] - logs[1]).astype(np.float32)
 
 
