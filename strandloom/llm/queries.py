@@ -8,11 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandloom.llm import pieces, url_filter, warc
+from strandloom.llm.fingerprints import fingerprint_edits
 from strandloom.llm.jaccard_join import jaccard_components
 from strandloom.llm.packing import pack_documents
 from strandloom.llm.quality import score_quality
 from strandloom.llm.substring_dedup import deduplicate
 from strandloom.llm.toxicity import score_toxicity
+from strandloom.llm.vector_search import nearest
 from strandloom.plans.session import bound_arrow_batches
 
 
@@ -21,6 +24,26 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its number of ids, their hash, and whether decoding gives the text back."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    ids = pieces.encode(_table(spark, sf_dir, "documents"), path, keep=("doc_id", "text"))
+    back = pieces.decode(ids, path, keep=("doc_id", "text", "ids"))
+    text = F.coalesce("text", F.lit(""))
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"), (F.col("decoded") == text).alias("round_trip"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chunks = warc.read_archives(warc.write_archives(_table(spark, sf_dir, "pages")))
+    number = lambda c: F.nullif(F.substring_index(c, ":", -1), F.lit("null")).cast("long")
+    digest = F.when(F.col("record_type") == "revisit", F.col("declared_digest")).otherwise(F.col("digest_so_far"))
+    return chunks.where("last").select(number("record_id").alias("page_id"), "payload_bytes", digest.alias("payload_digest"), "record_type", number("refers_to").alias("refers_to"))
+
+
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(_table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -30,6 +53,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"), url_filter.listing(spark))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: how much went, the spans as start-end text, and the digest of what stays."""
     done = deduplicate(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -42,15 +69,24 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op9_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
+    "op2_warc": op2_warc,
+    "op3_fingerprints": op3_fingerprints,
     "op4_packing": op4_packing,
     "op5_toxicity": op5_toxicity,
+    "op6_url_filter": op6_url_filter,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_quality": op8_quality,
+    "op9_vector_search": op9_vector_search,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
