@@ -2,16 +2,21 @@
 
 Distance is 1 - Jaccard similarity, a metric. Two sets within the threshold
 must share one of the rarest ``n - ceil(t n) + 1`` shingles of each (any
-common order is valid), so every such shingle spans a *region*. Each region
-has a pivot, its most central set, and the sets of the region form the
-pivot's cell (within the threshold) or its boundary. Round one measures every
-set of a region against the pivot only: no pair list of the group is made.
-Components found so far resolve most regions. Round two takes what a region
-has outside its largest component, and joins it to the sets of that region
-whose distance from the pivot differs by at most the threshold (triangle
-inequality), exactly. A pair in different components has at least one side
-outside the largest, so no link between different components is lost; links
-inside a component can't change it.
+common order is valid), so the sets around every such shingle form a region.
+Each region's pivot is its most central set, and all regions with one pivot
+form the pivot's *cell*: a set is copied to the cells of all pivots it may
+have to do with, and any link is inside some cell.
+
+Round one measures the sets of a cell against the pivot only: no pair list of
+the group is made. Components found so far resolve most cells. Round two
+takes what a cell has outside its largest component and joins it exactly to
+the cell, in blocks of bounded size: a pair in different components has at
+least one side outside the largest, so no link between components is lost, and
+links inside a component can't change it. Within a block, pairs are dropped
+whose distances from the pivot differ by more than the threshold (triangle
+inequality) or whose counts by parts of the hash space differ too much; as
+components grow, pairs inside one are passed over. Only links that join
+components leave a block.
 
 Plain Voronoi cells over the whole table can't prune here: unrelated sets
 have distance 1 from every pivot, so each would be copied to each cell. The
@@ -39,13 +44,15 @@ from strandloom.operators.graph import connected_components
 from strandloom.plans.snapshot import snapshot
 
 #: Entries of the broadcast table of frequent shingles (12 bytes each), and the least count that makes one.
-FREQUENT_MOST, FREQUENT_LEAST = 1 << 20, 5
+FREQUENT_MOST, FREQUENT_LEAST = 1 << 20, 3
 #: Shingles that a task counts at a time, and sets that it numbers together.
-COUNT_AT_ONCE, BLOCK_NODES, BLOCK_ENTRIES = 1 << 21, 1 << 15, 1 << 21
+COUNT_AT_ONCE, BLOCK_NODES, BLOCK_ENTRIES = 1 << 20, 1 << 15, 1 << 21
 #: Digests that may be broadcast to pick the sets to verify; beyond it a shuffled join picks them.
 DIGESTS_MOST = 1 << 21
 #: Prefix entries aimed at in a range.
 RANGE_ENTRIES, DOCUMENT_ENTRIES = 150_000, 150
+#: Bounds of a block of round two: sets that ask, sets they are held against, bytes of the latter.
+BLOCK_OUTER, BLOCK_SETS, BLOCK_BYTES = 512, 4096, 16 << 20
 #: Parts of the hash space whose counts bound a pair's distance from below.
 PARTS = 256
 
@@ -67,49 +74,63 @@ def _digest(s: np.ndarray) -> int:
     return int(tk.mix(np.array([x], np.uint64)).view(np.int64)[0])
 
 
-def frequent_shingles(docs: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes and counts of shingles that many distinct sets have."""
+def frequent_shingles(docs: DataFrame, text: str, ranges: int, t: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted leading bits and counts of shingles that the prefixes of many sets share.
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Counted over all texts, in the prefixes that the order by hash alone would
+    give: a shingle is in about a quarter of the prefixes of the sets that
+    have it.
+    """
+    bits = ranges.bit_length() - 1
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n, seen = [], 0, set()
 
         def flush():
-            if not held:
-                return None
-            u, c = np.unique(np.concatenate(held), return_counts=True)
-            keep = c >= 2
-            return pa.RecordBatch.from_arrays([pa.array(u[keep].view(np.int64)), pa.array(c[keep].astype(np.int64))], ["tok", "c"])
+            h = np.sort(np.concatenate(held)) >> np.uint64(32 - bits)
+            r = (h >> np.uint64(32)).astype(np.int32)
+            cut = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1], [True]]))
+            return pa.RecordBatch.from_arrays([pa.array(r[cut[:-1]]), pa.array([h[a:b].astype(np.uint32).tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())], ["rng", "tok"])
 
         for b in batches:
             for s in tk.shingle_sets(b.column(0)):
                 d = _digest(s)
-                if d in seen:
-                    continue
-                seen.add(d)
-                held.append(s)
-                n += len(s)
-                if n >= COUNT_AT_ONCE:
+                if len(s) and d not in seen:
+                    seen.add(d)
+                    held.append(s[: _prefix_size(len(s), t)])
+                    n += len(held[-1])
+                if n >= COUNT_AT_ONCE or len(seen) >= 200_000:
                     yield flush()
                     held, n, seen = [], 0, set()
-        last = flush()
-        if last is not None:
-            yield last
+        if held:
+            yield flush()
 
-    got = docs.select(F.col(text).cast("string").alias("t")).mapInArrow(count, "tok long, c long")
-    got = got.groupBy("tok").agg(F.sum("c").alias("c")).where(F.col("c") >= FREQUENT_LEAST).orderBy(F.desc("c"), "tok").limit(FREQUENT_MOST).toPandas()
-    tok = got["tok"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(tok)
-    return tok[order], got["c"].to_numpy(np.int64)[order]
+    def count(pdf):
+        import pandas as pd
+
+        u, c = np.unique(np.concatenate([np.frombuffer(x, np.uint32) for x in pdf["tok"]]), return_counts=True)
+        keep = c >= FREQUENT_LEAST
+        return pd.DataFrame({"key": (int(pdf["rng"].iloc[0]) << 32) + u[keep].astype(np.int64), "c": c[keep]})
+
+    got = docs.select(F.col(text).cast("string").alias("t")).mapInArrow(emit, "rng int, tok binary").groupBy("rng").applyInPandas(count, "key long, c long")
+    got = got.orderBy(F.desc("c"), "key").limit(FREQUENT_MOST).toPandas()
+    key = got["key"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(key)
+    return key[order], got["c"].to_numpy(np.int64)[order]
+
+
+def _prefix_size(n: int, t: tuple[int, int]) -> int:
+    return n - -(-t[0] * n // t[1]) + 1
 
 
-def _prefix(s: np.ndarray, tok: np.ndarray, cnt: np.ndarray, t_num: int, t_den: int) -> tuple[np.ndarray, int]:
+def _prefix(s: np.ndarray, tok: np.ndarray, cnt: np.ndarray, shift: np.uint64, t: tuple[int, int]) -> tuple[np.ndarray, int]:
     """The rarest shingles that a linked set must share one of, and how central the set is (0-255)."""
     n = len(s)
-    p = n - -(-t_num * n // t_den) + 1
+    p = _prefix_size(n, t)
     if len(tok):
-        at = np.searchsorted(tok, s)
+        at = np.searchsorted(tok, s >> shift)
         at[at == len(tok)] = 0
-        hot = tok[at] == s
+        hot = tok[at] == s >> shift
         rare = s[~hot]
         mid = 255 * (n - len(rare)) // n
         if len(rare) >= p:
@@ -162,7 +183,7 @@ def _postings(docs: DataFrame, doc_id: str, text: str, tok: np.ndarray, cnt: np.
                         blocks += 1
                         number, toks, idxs, sizes, mids, n_entries = {}, [], [], [], [], 0
                     number[d] = len(toks)
-                    p, mid = _prefix(s, tok, cnt, *t)
+                    p, mid = _prefix(s, tok, cnt, np.uint64(32 - bits), t)
                     toks.append(p)
                     sizes.append(min(65535, round(2000 * math.log(len(s)))))
                     mids.append(mid)
@@ -178,9 +199,8 @@ def _postings(docs: DataFrame, doc_id: str, text: str, tok: np.ndarray, cnt: np.
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("t")).mapInArrow(emit, _SCHEMA)
 
 
-def _regions(post: DataFrame, t: float) -> DataFrame:
-    """Per range: members of shared shingles as (region, key, size), and the pivot of each region."""
-    out = T.StructType([T.StructField("region", T.LongType()), T.StructField("key", T.LongType()), T.StructField("pivot", T.LongType()), T.StructField("size", T.IntegerType())])
+def _cells(post: DataFrame, t: float) -> DataFrame:
+    """(key, pivot) of the sets that share a prefix shingle, each once per range."""
     gap = round(2000 * math.log(1 / t)) + 2
 
     def group(pdf):
@@ -192,29 +212,23 @@ def _regions(post: DataFrame, t: float) -> DataFrame:
         mid = np.concatenate([np.frombuffer(x, np.uint8) for x in pdf["mid"]])
         order = np.argsort(tok, kind="stable")
         tok = tok[order]
-        first = np.concatenate([[True], tok[1:] != tok[:-1]])
-        run = np.cumsum(first) - 1
+        run = np.cumsum(np.concatenate([[True], tok[1:] != tok[:-1]])) - 1
         keep = np.bincount(run)[run] > 1
-        order, run = order[keep], run[keep]
-        if not len(order):
-            return pd.DataFrame({"region": [], "key": [], "pivot": [], "size": []}).astype({"region": "int64", "key": "int64", "pivot": "int64", "size": "int32"})
-        key, size, mid = key[order], size[order], mid[order]
-        # within a shingle's run, sizes that differ by more than the threshold part the region
+        run, key, size, mid = run[keep], key[order[keep]], size[order[keep]], mid[order[keep]]
+        # sizes that differ by more than the threshold part the sets of a shingle
         o = np.lexsort((size, run))
         run, key, size, mid = run[o], key[o], size[o], mid[o]
-        part = np.concatenate([[True], (run[1:] != run[:-1]) | (np.diff(size) > gap)])
-        run = np.cumsum(part) - 1
-        keep = np.bincount(run)[run] > 1
+        run = np.cumsum(np.concatenate([[True], (run[1:] != run[:-1]) | (np.diff(size) > gap)])[: len(run)]) - 1
+        keep = np.bincount(run)[run] > 1 if len(run) else np.zeros(0, bool)
         run, key, size, mid = run[keep], key[keep], size[keep], mid[keep]
         if not len(run):
-            return pd.DataFrame({"region": run.astype(np.int64), "key": key, "pivot": key, "size": size})
+            return pd.DataFrame({"key": key, "pivot": key})
         o = np.lexsort((key, size, 255 - mid.astype(np.int32), run))
         best = o[np.concatenate([[True], run[o][1:] != run[o][:-1]])]
         _, dense = np.unique(run, return_inverse=True)
-        rng = int(pdf["rng"].iloc[0])
-        return pd.DataFrame({"region": (rng << 32) + run.astype(np.int64), "key": key, "pivot": key[best][dense], "size": size})
+        return pd.DataFrame({"key": key, "pivot": key[best][dense]}).drop_duplicates()
 
-    return post.select("rng", "block", "tok", "idx", "size", "mid").groupBy("rng").applyInPandas(group, out)
+    return post.select("rng", "block", "tok", "idx", "size", "mid").groupBy("rng").applyInPandas(group, "key long, pivot long")
 
 
 def _sets(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
@@ -296,6 +310,56 @@ def _measure(pairs: DataFrame, sets: DataFrame, t: tuple[int, int]) -> DataFrame
     return pairs.join(sb, "b").join(sa, "a").select("a", "b", "x", "y").mapInArrow(merge, "a long, b long, dist double, linked boolean")
 
 
+def _blocks(cells: DataFrame, first: DataFrame, label: DataFrame, sets: DataFrame, t: tuple[int, int]) -> DataFrame:
+    """(a, b): links that join different components of a cell, found block by block."""
+    dist = first.select(F.col("a").alias("x"), F.col("b").alias("p"), "dist")
+    known = cells.join(dist, ["x", "p"], "left").unionByName(cells.select("p").distinct().select(F.col("p").alias("x"), "p", F.lit(0.0).alias("dist")))
+    known = known.join(label.withColumnRenamed("node", "x"), "x", "left").withColumn("c", F.coalesce("component", "x")).drop("component")
+    per = known.groupBy("p", "c").agg(F.count("*").alias("k"))
+    main = per.groupBy("p").agg(F.max(F.struct("k", "c"))["c"].alias("main"), F.count("*").alias("n_c")).where("n_c > 1").select("p", "main")
+    sizes = sets.select(F.col("digest").alias("x"), F.octet_length("shingles").alias("w"))
+    known = snapshot(known.join(main, "p").join(sizes, "x").withColumn("outer", F.col("c") != F.col("main")).select("p", "x", "c", "dist", "w", "outer"), "jj-open")
+    weigh = lambda rows, n, w: F.greatest(F.ceil(F.count(rows) / n), F.ceil(F.sum(F.when(rows.isNotNull(), F.col("w"))) / w), F.lit(1)).cast("int")
+    parts = known.groupBy("p").agg(weigh(F.when(F.col("outer"), 1), BLOCK_OUTER, BLOCK_BYTES // 4).alias("n_i"), weigh(F.lit(1), BLOCK_SETS, BLOCK_BYTES).alias("n_j"))
+    dealt = known.join(parts, "p")
+    own = lambda n, seed: F.pmod(F.xxhash64("x", F.lit(seed)), F.col(n).cast("long")).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = dealt.where("outer").select("p", own("n_i", 1).alias("i"), each("n_j").alias("j"), "x", "c", "dist", F.lit(True).alias("ask"))
+    right = dealt.select("p", each("n_i").alias("i"), own("n_j", 2).alias("j"), "x", "c", "dist", F.lit(False).alias("ask"))
+    both = left.unionByName(right).join(sets.withColumnRenamed("digest", "x"), "x")
+    share, window = (t[1] - t[0]) / (t[1] + t[0]), 1 - t[0] / t[1] + 1e-9
+    names = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def join(block: pa.Table) -> pa.Table:
+        ask = block["ask"].to_numpy()
+        x, c, d = block["x"].to_numpy(), block["c"].to_numpy(), block["dist"].to_numpy()
+        held = block["shingles"].combine_chunks()
+        held = [np.frombuffer(s.as_buffer(), np.uint64) for s in held]
+        _, comp = np.unique(c, return_inverse=True)
+        n = np.array([len(s) for s in held])
+        count = np.stack([np.minimum(np.bincount((s & np.uint64(PARTS - 1)).astype(np.int64), minlength=PARTS), 255) for s in held]).astype(np.int16)
+        inner = np.flatnonzero(~ask)
+        out = []
+        for o in np.flatnonzero(ask):
+            y = inner[comp[inner] != comp[o]]
+            y = y[(t[1] * np.minimum(n[y], n[o]) >= t[0] * np.maximum(n[y], n[o])) & ~(np.abs(d[y] - d[o]) > window)]
+            if not len(y):
+                continue
+            apart = np.abs(count[y] - count[o]).sum(1)
+            ok = apart <= share * (n[y] + n[o]) + 1e-6
+            for m in y[ok][np.argsort(apart[ok], kind="stable")]:
+                if comp[m] == comp[o]:
+                    continue
+                both = len(np.intersect1d(held[o], held[m], assume_unique=True))
+                if t[1] * both >= t[0] * (n[o] + n[m] - both):
+                    out.append((x[o], x[m]))
+                    comp[comp == comp[m]] = comp[o]
+        a, b = zip(*out, strict=True) if out else ((), ())
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=names)
+
+    return both.groupBy("p", "i", "j").applyInArrow(join, "a long, b long")
+
+
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: tuple[int, int] = (75, 100)) -> DataFrame:
     """Components of documents under links of Jaccard similarity at or over the threshold.
 
@@ -307,45 +371,26 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     columns of ``docs`` are ignored, whatever their names.
     """
     num, den = threshold
-    tok, cnt = frequent_shingles(docs, text)
     ranges = 1 << max(6, math.ceil(math.log2(docs.count() * DOCUMENT_ENTRIES / RANGE_ENTRIES + 1)))
+    tok, cnt = frequent_shingles(docs, text, ranges, threshold)
     made = snapshot(_postings(docs, doc_id, text, tok, cnt, ranges, threshold), "jj-postings")
     rows = made.where("rng is null").select("doc_id", "n", "digest", "key")
     node = rows.where("key is not null").groupBy("key").agg(F.first("digest").alias("digest"))
     sketch = made.where("parts is not null").select("digest", "parts", "n").dropDuplicates(["digest"])
-    regions = _regions(made.where("rng is not null"), num / den)
     pivot = node.select(F.col("key").alias("pivot"), F.col("digest").alias("p"))
-    # one row for each set, region and pivot; equal sets of different tasks meet here
-    regions = regions.join(node, "key").join(pivot, "pivot").groupBy("region", F.col("digest").alias("x"), "p").agg(F.first("size").alias("size"))
-    regions = snapshot(regions, "jj-regions")
-    one = regions.where("x <> p").select(F.col("x").alias("a"), F.col("p").alias("b")).distinct()
-    one = snapshot(_near(one, sketch, num / den), "jj-pairs")
-    wanted = one.select(F.col("a").alias("digest")).union(one.select(F.col("b").alias("digest"))).distinct()
-    first = snapshot(_measure(one, _sets(docs, text, wanted), threshold), "jj-round1")
+    # equal sets of different tasks meet here
+    cells = _cells(made.where("rng is not null"), num / den).distinct().join(node, "key").join(pivot, "pivot")
+    cells = snapshot(cells.select(F.col("digest").alias("x"), "p").where("x <> p").distinct(), "jj-cells")
+    wanted = cells.select(F.col("x").alias("digest")).union(cells.select(F.col("p").alias("digest"))).distinct()
+    sets = snapshot(_sets(docs, text, snapshot(wanted, "jj-wanted")), "jj-one-set")
+    near = _near(cells.select(F.col("x").alias("a"), F.col("p").alias("b")), sketch, num / den)
+    first = snapshot(_measure(snapshot(near, "jj-near"), sets, threshold), "jj-round1")
     links = first.where("linked").select("a", "b")
     label = snapshot(connected_components(links, "a", "b"), "jj-label1")
 
-    # round two: regions that still hold several components
-    known = regions.join(label.withColumnRenamed("node", "x"), "x", "left").withColumn("c", F.coalesce("component", "x")).drop("component")
-    open_ = known.groupBy("region").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("region")
-    known = known.join(open_, "region", "left_semi")
-    known = known.join(first.select(F.col("a").alias("x"), F.col("b").alias("p"), "dist"), ["x", "p"], "left")
-    known = snapshot(known, "jj-open")
-    per = known.groupBy("region", "c").agg(F.count("*").alias("k"))
-    largest = per.groupBy("region").agg(F.max(F.struct("k", "c"))["c"].alias("main"))
-    outer = known.join(largest, "region").where("c <> main and x <> p").select("region", F.col("x").alias("a"), F.col("c").alias("ca"), F.col("size").alias("sa"), F.col("dist").alias("da"))
-    inner = known.where("x <> p").select("region", F.col("x").alias("b"), F.col("c").alias("cb"), F.col("size").alias("sb"), F.col("dist").alias("db"))
-    gap = round(2000 * math.log(den / num)) + 2
-    window = 1 - num / den + 1e-9
-    two = outer.join(inner, "region").where((F.col("ca") != F.col("cb")) & (F.abs(F.col("sa") - F.col("sb")) <= gap) & F.coalesce(F.abs(F.col("da") - F.col("db")) <= window, F.lit(True)))
-    two = two.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    done = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    two = snapshot(_near(two.join(done, ["a", "b"], "left_anti"), sketch, num / den), "jj-pairs2")
-    if not two.isEmpty():
-        wanted = two.select(F.col("a").alias("digest")).union(two.select(F.col("b").alias("digest"))).distinct()
-        more = snapshot(_measure(two, _sets(docs, text, wanted), threshold).where("linked").select("a", "b"), "jj-round2")
-        if not more.isEmpty():
-            label = snapshot(connected_components(links.union(more), "a", "b"), "jj-label2")
+    more = snapshot(_blocks(cells, first, label, sets, threshold), "jj-round2")
+    if not more.isEmpty():
+        label = snapshot(connected_components(links.union(more), "a", "b"), "jj-label2")
 
     rows = rows.select("doc_id", F.col("n").alias("n_shingles"), "digest")
     some = rows.where("n_shingles > 0").join(label.withColumnRenamed("node", "digest"), "digest", "left").withColumn("c", F.coalesce("component", "digest")).select("doc_id", "n_shingles", "c")
