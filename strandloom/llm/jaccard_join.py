@@ -45,6 +45,8 @@ from strandloom.plans.snapshot import snapshot
 
 #: Entries of the broadcast table of frequent shingles (12 bytes each), and the least count that makes one.
 FREQUENT_MOST, FREQUENT_LEAST = 1 << 20, 3
+#: Bits of the map of shared shingles (16 MB).
+SHARED_BITS = 1 << 27
 #: Shingles that a task counts at a time, and sets that it numbers together.
 COUNT_AT_ONCE, BLOCK_NODES, BLOCK_ENTRIES = 1 << 20, 1 << 15, 1 << 21
 #: Digests that may be broadcast to pick the sets to verify; beyond it a shuffled join picks them.
@@ -53,6 +55,10 @@ DIGESTS_MOST = 1 << 21
 RANGE_ENTRIES, DOCUMENT_ENTRIES = 150_000, 150
 #: Bounds of a block of round two: sets that ask, sets they are held against, bytes of the latter.
 BLOCK_OUTER, BLOCK_SETS, BLOCK_BYTES = 512, 4096, 16 << 20
+#: Sets of a shingle up to which each pair's places are looked at.
+SHORT_REGION = 8
+#: Steps of a set in which the place of a prefix shingle is kept (prefixes of a quarter stay under 256).
+PLACES = 1000
 #: Parts of the hash space whose counts bound a pair's distance from below.
 PARTS = 256
 
@@ -60,7 +66,7 @@ _SCHEMA = T.StructType(
     [
         T.StructField("doc_id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("digest", T.LongType()),
         T.StructField("key", T.LongType()), T.StructField("parts", T.BinaryType()), T.StructField("rng", T.IntegerType()), T.StructField("block", T.LongType()),
-        T.StructField("tok", T.BinaryType()), T.StructField("idx", T.BinaryType()), T.StructField("size", T.BinaryType()), T.StructField("mid", T.BinaryType()),
+        T.StructField("tok", T.BinaryType()), T.StructField("idx", T.BinaryType()), T.StructField("size", T.BinaryType()), T.StructField("mid", T.BinaryType()), T.StructField("place", T.BinaryType()),
     ]
 )
 
@@ -74,12 +80,11 @@ def _digest(s: np.ndarray) -> int:
     return int(tk.mix(np.array([x], np.uint64)).view(np.int64)[0])
 
 
-def frequent_shingles(docs: DataFrame, text: str, ranges: int, t: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted leading bits and counts of shingles that the prefixes of many sets share.
+def frequent_shingles(docs: DataFrame, text: str, ranges: int, t: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted leading bits and counts of shingles that many sets have, and a bit map of those that two or more have.
 
-    Counted over all texts, in the prefixes that the order by hash alone would
-    give: a shingle is in about a quarter of the prefixes of the sets that
-    have it.
+    Counted over all texts, among the smallest hashes of each set: those that
+    a prefix can reach.
     """
     bits = ranges.bit_length() - 1
 
@@ -97,7 +102,7 @@ def frequent_shingles(docs: DataFrame, text: str, ranges: int, t: tuple[int, int
                 d = _digest(s)
                 if len(s) and d not in seen:
                     seen.add(d)
-                    held.append(s[: _prefix_size(len(s), t)])
+                    held.append(s[: 3 * _prefix_size(len(s), t) // 2])
                     n += len(held[-1])
                 if n >= COUNT_AT_ONCE or len(seen) >= 200_000:
                     yield flush()
@@ -109,47 +114,56 @@ def frequent_shingles(docs: DataFrame, text: str, ranges: int, t: tuple[int, int
         import pandas as pd
 
         u, c = np.unique(np.concatenate([np.frombuffer(x, np.uint32) for x in pdf["tok"]]), return_counts=True)
-        keep = c >= FREQUENT_LEAST
-        return pd.DataFrame({"key": (int(pdf["rng"].iloc[0]) << 32) + u[keep].astype(np.int64), "c": c[keep]})
-
-    got = docs.select(F.col(text).cast("string").alias("t")).mapInArrow(emit, "rng int, tok binary").groupBy("rng").applyInPandas(count, "key long, c long")
-    got = got.orderBy(F.desc("c"), "key").limit(FREQUENT_MOST).toPandas()
-    key = got["key"].to_numpy(np.int64).view(np.uint64)
+        keep, r = c >= FREQUENT_LEAST, int(pdf["rng"].iloc[0])
+        shared = np.zeros(SHARED_BITS // ranges, bool)
+        shared[u[c > 1] % np.uint32(len(shared))] = True
+        return pd.DataFrame({"key": np.append((r << 32) + u[keep].astype(np.int64), r), "c": np.append(c[keep], 0), "bits": [None] * int(keep.sum()) + [np.packbits(shared, bitorder="little").tobytes()]})
+
+    got = docs.select(F.col(text).cast("string").alias("t")).mapInArrow(emit, "rng int, tok binary").groupBy("rng").applyInPandas(count, "key long, c long, bits binary")
+    got = snapshot(got, "jj-counts")
+    size = SHARED_BITS // ranges // 8
+    shared = np.zeros(ranges * size, np.uint8)
+    for r in got.where("bits is not null").select("key", "bits").toLocalIterator():  # SHARED_BITS in all
+        shared[r["key"] * size : (r["key"] + 1) * size] = np.frombuffer(r["bits"], np.uint8)
+    top = got.where("bits is null").select("key", "c").orderBy(F.desc("c"), "key").limit(FREQUENT_MOST).toPandas()
+    key = top["key"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(key)
-    return key[order], got["c"].to_numpy(np.int64)[order]
+    return key[order], top["c"].to_numpy(np.int64)[order], shared
 
 
 def _prefix_size(n: int, t: tuple[int, int]) -> int:
     return n - -(-t[0] * n // t[1]) + 1
 
 
-def _prefix(s: np.ndarray, tok: np.ndarray, cnt: np.ndarray, shift: np.uint64, t: tuple[int, int]) -> tuple[np.ndarray, int]:
-    """The rarest shingles that a linked set must share one of, and how central the set is (0-255)."""
+def _prefix(s: np.ndarray, known: tuple[np.ndarray, np.ndarray, np.ndarray], ranges: int, t: tuple[int, int]) -> tuple[np.ndarray, int]:
+    """The rarest shingles that a linked set must share one of, rarest first, and how central the set is (0-255)."""
+    tok, cnt, shared = known
     n = len(s)
     p = _prefix_size(n, t)
+    h = s >> np.uint64(64 - 32 - (ranges.bit_length() - 1))
+    width = np.uint64(SHARED_BITS // ranges)
+    bit = (h >> np.uint64(32)) * width + (h & np.uint64(0xFFFFFFFF)) % width
+    count = (shared[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(np.int64)
     if len(tok):
-        at = np.searchsorted(tok, s >> shift)
+        at = np.searchsorted(tok, h)
         at[at == len(tok)] = 0
-        hot = tok[at] == s >> shift
-        rare = s[~hot]
-        mid = 255 * (n - len(rare)) // n
-        if len(rare) >= p:
-            return rare[:p], mid
-        rest, c = s[hot], cnt[at[hot]]
-        return np.concatenate([rare, rest[np.lexsort((rest, c))][: p - len(rare)]]), mid
-    return s[:p], 0
-
-
-def _postings(docs: DataFrame, doc_id: str, text: str, tok: np.ndarray, cnt: np.ndarray, ranges: int, t: tuple[int, int]) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast((tok, cnt))
+        hot = tok[at] == h
+        count[hot] = cnt[at[hot]]
+    often = np.count_nonzero(count)
+    order = np.argsort(count, kind="stable")[:p]  # by hash among equals, as the set is sorted
+    return s[order], 255 * often // n
+
+
+def _postings(docs: DataFrame, doc_id: str, text: str, known: tuple, ranges: int, t: tuple[int, int]) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(known)
     bits = ranges.bit_length() - 1
     names = _SCHEMA.names
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, cnt = shared.value
+        known = shared.value
         part, blocks = tk.partition_id(), 0
         number: dict[int, int] = {}
-        toks, idxs, sizes, mids, n_entries = [], [], [], [], 0
+        toks, places, sizes, mids, n_entries = [], [], [], [], 0
 
         def block_id():
             return (part << 20) | blocks
@@ -158,9 +172,10 @@ def _postings(docs: DataFrame, doc_id: str, text: str, tok: np.ndarray, cnt: np.
             if not toks:
                 return None
             h, i = np.concatenate(toks), np.repeat(np.arange(len(toks), dtype=np.uint16), [len(x) for x in toks])
+            place = np.concatenate(places)
             h = h >> np.uint64(64 - bits - 32)
             order = np.argsort(h, kind="stable")
-            h, i = h[order], i[order]
+            h, i, place = h[order], i[order], place[order]
             r = (h >> np.uint64(32)).astype(np.int32)
             low = h.astype(np.uint32)
             size, mid = np.array(sizes, np.uint16)[i], np.array(mids, np.uint8)[i]
@@ -168,7 +183,7 @@ def _postings(docs: DataFrame, doc_id: str, text: str, tok: np.ndarray, cnt: np.
             cut = np.concatenate([[0], edge, [len(r)]])
             pairs = list(zip(cut[:-1], cut[1:], strict=True))
             cols = [pa.nulls(len(pairs), pa.int64())] * 4 + [pa.nulls(len(pairs), pa.binary()), pa.array(r[cut[:-1]]), pa.array([block_id()] * len(pairs), pa.int64())]
-            cols += [pa.array([x[a:b].tobytes() for a, b in pairs], pa.binary()) for x in (low, i, size, mid)]
+            cols += [pa.array([x[a:b].tobytes() for a, b in pairs], pa.binary()) for x in (low, i, size, mid, place)]
             return pa.RecordBatch.from_arrays(cols, names)
 
         for b in batches:
@@ -181,17 +196,18 @@ def _postings(docs: DataFrame, doc_id: str, text: str, tok: np.ndarray, cnt: np.
                     if len(toks) >= BLOCK_NODES or n_entries >= BLOCK_ENTRIES:
                         yield flush()
                         blocks += 1
-                        number, toks, idxs, sizes, mids, n_entries = {}, [], [], [], [], 0
+                        number, toks, places, sizes, mids, n_entries = {}, [], [], [], [], 0
                     number[d] = len(toks)
-                    p, mid = _prefix(s, tok, cnt, np.uint64(32 - bits), t)
+                    p, mid = _prefix(s, known, ranges, t)
                     toks.append(p)
+                    places.append((np.arange(len(p)) * PLACES // len(s)).astype(np.uint8))
                     sizes.append(min(65535, round(2000 * math.log(len(s)))))
                     mids.append(mid)
                     n_entries += len(p)
                 rows.append((doc, len(s), d, (block_id() << 16) | number[d] if len(s) else None, parts))
             if rows:
                 *cols, parts = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols), pa.array(parts, pa.binary())] + [pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.int64())] + [pa.nulls(len(rows), pa.binary())] * 4, names)
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols), pa.array(parts, pa.binary())] + [pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.int64())] + [pa.nulls(len(rows), pa.binary())] * 5, names)
         last = flush()
         if last is not None:
             yield last
@@ -210,16 +226,26 @@ def _cells(post: DataFrame, t: float) -> DataFrame:
         key = np.concatenate([(b << 16) + np.frombuffer(x, np.uint16).astype(np.int64) for b, x in zip(pdf["block"], pdf["idx"], strict=True)])
         size = np.concatenate([np.frombuffer(x, np.uint16) for x in pdf["size"]]).astype(np.int32)
         mid = np.concatenate([np.frombuffer(x, np.uint8) for x in pdf["mid"]])
+        place = np.concatenate([np.frombuffer(x, np.uint8) for x in pdf["place"]])
         order = np.argsort(tok, kind="stable")
         tok = tok[order]
         run = np.cumsum(np.concatenate([[True], tok[1:] != tok[:-1]])) - 1
         keep = np.bincount(run)[run] > 1
-        run, key, size, mid = run[keep], key[order[keep]], size[order[keep]], mid[order[keep]]
+        run, (key, size, mid, place) = run[keep], (v[order[keep]] for v in (key, size, mid, place))
         # sizes that differ by more than the threshold part the sets of a shingle
         o = np.lexsort((size, run))
-        run, key, size, mid = run[o], key[o], size[o], mid[o]
+        run, key, size, mid, place = (v[o] for v in (run, key, size, mid, place))
         run = np.cumsum(np.concatenate([[True], (run[1:] != run[:-1]) | (np.diff(size) > gap)])[: len(run)]) - 1
-        keep = np.bincount(run)[run] > 1 if len(run) else np.zeros(0, bool)
+        length = np.bincount(run)[run] if len(run) else run
+        # a set may leave a short region if with no other set there the shingle can be their first common one
+        keep = length > SHORT_REGION
+        for k in range(1, SHORT_REGION):
+            a = np.flatnonzero((run[k:] == run[:-k]) & (length[k:] <= SHORT_REGION)) if len(run) > k else np.zeros(0, np.int64)
+            ratio = np.exp((size[a + k] - size[a]) / 2000)  # of the larger to the smaller
+            need = t / (1 + t) * (1 + ratio)  # least overlap, in parts of the smaller
+            ok = (ratio <= 1 / t + 2e-3) & (place[a] / PLACES <= 1 - need + 3e-3) & (place[a + k] / PLACES <= 1 - need / ratio + 3e-3)
+            keep[a[ok]] = True
+            keep[a[ok] + k] = True
         run, key, size, mid = run[keep], key[keep], size[keep], mid[keep]
         if not len(run):
             return pd.DataFrame({"key": key, "pivot": key})
@@ -228,7 +254,7 @@ def _cells(post: DataFrame, t: float) -> DataFrame:
         _, dense = np.unique(run, return_inverse=True)
         return pd.DataFrame({"key": key, "pivot": key[best][dense]}).drop_duplicates()
 
-    return post.select("rng", "block", "tok", "idx", "size", "mid").groupBy("rng").applyInPandas(group, "key long, pivot long")
+    return post.select("rng", "block", "tok", "idx", "size", "mid", "place").groupBy("rng").applyInPandas(group, "key long, pivot long")
 
 
 def _sets(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
@@ -372,8 +398,8 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     """
     num, den = threshold
     ranges = 1 << max(6, math.ceil(math.log2(docs.count() * DOCUMENT_ENTRIES / RANGE_ENTRIES + 1)))
-    tok, cnt = frequent_shingles(docs, text, ranges, threshold)
-    made = snapshot(_postings(docs, doc_id, text, tok, cnt, ranges, threshold), "jj-postings")
+    known = frequent_shingles(docs, text, ranges, threshold)
+    made = snapshot(_postings(docs, doc_id, text, known, ranges, threshold), "jj-postings")
     rows = made.where("rng is null").select("doc_id", "n", "digest", "key")
     node = rows.where("key is not null").groupBy("key").agg(F.first("digest").alias("digest"))
     sketch = made.where("parts is not null").select("digest", "parts", "n").dropDuplicates(["digest"])
