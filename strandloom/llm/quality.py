@@ -113,13 +113,13 @@ def score_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", te
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = term_vectors(b.column(0))
-            yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in x], pa.binary()), b.column(1), b.column(2)], ["x", "y", "o"])
+            yield pa.RecordBatch.from_arrays([pa.array([r.astype(np.float16).tobytes() for r in x], pa.binary()), b.column(1), b.column(2)], ["x", "y", "o"])
 
     model = None
     rate = 0.5
     if last[1]:
         got = train.where(F.col("o") <= last[0]).select("t", "y", "o").mapInArrow(vectors, "x binary, y int, o long").orderBy("o", "x").limit(SAMPLE).collect()
-        x, y = np.array([np.frombuffer(r["x"], np.float32) for r in got]), np.array([r["y"] for r in got], np.float64)
+        x, y = np.array([np.frombuffer(r["x"], np.float16) for r in got], np.float32), np.array([r["y"] for r in got], np.float64)
         rate = float(y.mean())
         if 0 < y.sum() < len(y):
             mean, proj = fit_latent(x)
