@@ -44,7 +44,7 @@ from strandloom.operators.graph import connected_components
 from strandloom.plans.snapshot import snapshot
 
 #: Entries of the broadcast table of frequent shingles (12 bytes each), and the least count that makes one.
-FREQUENT_MOST, FREQUENT_LEAST = 1 << 20, 3
+FREQUENT_MOST, FREQUENT_LEAST = 1 << 19, 3
 #: Bits of the map of shared shingles (16 MB).
 SHARED_BITS = 1 << 27
 #: Shingles that a task counts at a time, and sets that it numbers together.
@@ -125,7 +125,14 @@ def frequent_shingles(docs: DataFrame, text: str, ranges: int, t: tuple[int, int
     shared = np.zeros(ranges * size, np.uint8)
     for r in got.where("bits is not null").select("key", "bits").toLocalIterator():  # SHARED_BITS in all
         shared[r["key"] * size : (r["key"] + 1) * size] = np.frombuffer(r["bits"], np.uint8)
-    top = got.where("bits is null").select("key", "c").orderBy(F.desc("c"), "key").limit(FREQUENT_MOST).toPandas()
+    hot = got.where("bits is null").select("key", F.least("c", F.lit(1 << 16)).alias("c"))
+    least, n = 1 << 62, 0
+    for r in sorted(hot.groupBy("c").agg(F.count("*").alias("n")).collect(), key=lambda r: -r["c"]):  # one row a count, at most 65536
+        n += r["n"]
+        if n > FREQUENT_MOST:
+            break
+        least = r["c"]
+    top = hot.where(F.col("c") >= least).toPandas()
     key = top["key"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(key)
     return key[order], top["c"].to_numpy(np.int64)[order], shared
