@@ -104,3 +104,13 @@ def ambiguous_codons(code: int = 1) -> dict[str, str]:
                 if len(found) == 1:
                     out[a + b + c] = found.pop()
     return out
+
+
+#: Letters in the order of their hexadecimal digit in ``residues_by_base16``.
+LETTERS = "ACGTRYSWKMBDHVNX"
+
+
+def residues_by_base16(code: int = 1) -> str:
+    """4096 residues; a codon of ambiguity letters, each its place in ``LETTERS``, is the place of its own. X where readings differ."""
+    table = ambiguous_codons(code)
+    return "".join(table.get(a + b + c, "X") for a in LETTERS for b in LETTERS for c in LETTERS)

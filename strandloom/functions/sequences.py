@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from strandloom.functions.codons import ambiguous_codons, residues_by_base4, start_codons
+from strandloom.functions.codons import LETTERS, residues_by_base4, residues_by_base16, start_codons
 
 #: Complements of bases and ambiguity letters, in both cases.
 COMPLEMENT = ("ACGTUMRWSYKVHDBXNacgtumrwsykvhdbxn", "TGCAAKYWSRMBDHVXNtgcaakywsrmbdhvxn")
@@ -23,9 +23,12 @@ def places(n: Column, step: int = 1, first: int = 1) -> Column:
 
 
 def codons(dna: Column) -> Column:
-    """Whole codons; a part of one at the end is left out."""
-    n = F.length(dna)
-    return F.transform(places(n - n % 3, 3), lambda i: F.substring(dna, i, F.lit(3)))
+    """Whole codons; a part of one at the end is left out.
+
+    One pass of a pattern: a substring at each place would count characters
+    from the start every time.
+    """
+    return F.regexp_extract_all(dna, F.lit("(?s)(.{3})"), F.lit(1))
 
 
 def _residue(codon: Column, code: int) -> Column:
@@ -43,9 +46,14 @@ def translate_codons(dna: Column, code: int = 11) -> Column:
 
 def translate_standard(dna: Column) -> Column:
     """Residues by code 1, ambiguity letters resolved where all readings agree, X elsewhere; no change of the first residue, a part codon dropped."""
-    table = ambiguous_codons(1)
-    known = F.create_map(*(F.lit(x) for kv in sorted(table.items()) for x in kv))
-    return F.array_join(F.transform(codons(F.upper(dna)), lambda c: F.coalesce(F.try_element_at(known, c), F.lit("X"))), "")
+    clean = F.replace(F.upper(dna), F.lit("U"), F.lit("T"))
+
+    def residue(codon: Column) -> Column:
+        known = codon.rlike(f"^[{LETTERS}]{{3}}$")
+        place = F.conv(F.translate(F.when(known, codon), LETTERS, "0123456789ABCDEF"), 16, 10).cast("int")
+        return F.when(known, F.substring(F.lit(residues_by_base16(1)), place + 1, F.lit(1))).otherwise(F.lit("X"))
+
+    return F.array_join(F.transform(codons(clean), residue), "")
 
 
 def strip_stop(protein: Column) -> Column:
@@ -74,8 +82,8 @@ def invalid_reason(dna: Column, frame: Column, protein: Column) -> Column:
 
 
 def kmers(s: Column, k: int = 3) -> Column:
-    """The distinct substrings of length k."""
-    return F.array_distinct(F.transform(places(F.length(s) - (k - 1)), lambda i: F.substring(s, i, F.lit(k))))
+    """The distinct substrings of length k, found in one pass."""
+    return F.array_distinct(F.regexp_extract_all(s, F.lit(f"(?s)(?=(.{{{k}}}))"), F.lit(1)))
 
 
 def shared_kmers(a: Column, b: Column, k: int = 3) -> Column:

@@ -576,7 +576,8 @@ def _padded(seq: str, frame: int) -> str:
 def best_frame(spark, d):
     """Six frames against a protein made from the second frame of the other strand; tested against a plain model."""
     w = dna(spark, d).where(F.length("seq") > 8)
-    return w.select("doc_id", S.best_frame(F.col("seq"), S.padded_frame(S.reverse_complement(F.col("seq")), 1)).alias("protein"))
+    # the protein is a column of its own, so that it is made once
+    return w.withColumn("target", S.padded_frame(S.reverse_complement(F.col("seq")), 1)).select("doc_id", S.best_frame(F.col("seq"), F.col("target")).alias("protein"))
 
 
 @query("codon_qc", f"WITH {DNA}, w AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN replace(seq, 'CCA', 'CNN') WHEN doc_id % 5 = 1 THEN replace(seq, 'AAC', 'AAN') ELSE seq END AS seq FROM dna), x AS (SELECT doc_id, seq, {_prot(_WHOLE)} AS p FROM w) SELECT doc_id, array_to_string(list_filter([CASE WHEN length(seq) % 3 <> 0 THEN '0' END, CASE WHEN length(seq) % 3 = 0 AND regexp_replace(p, '\\*$', '') <> regexp_replace(replace(p, 'K', 'R'), '\\*$', '') THEN '1' END, CASE WHEN position('NN' IN seq) > 0 THEN '2' END, CASE WHEN list_has_any(list_transform(range(0, length(seq) // 3), lambda i: substr(seq, i * 3 + 1, 3)), {list(S.DEGENERATE_CODONS)}) THEN '3' END], lambda x: x IS NOT NULL), ',') AS failures FROM x")
