@@ -90,4 +90,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_jaccard_join": op10_jaccard_join,
 }
 
-ORACLES: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _fits(host: str, path: str) -> str:
+    return f"(host = '{host}' OR host LIKE '%.{host}') AND path LIKE '{path}%'"
+
+
+_RULES = sorted(url_filter.RULES, key=lambda r: -len(r[0] + r[1]))
+
+ORACLES: dict[str, str] = {
+    "op2_warc": """WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages), q AS (SELECT *, max(page_id) OVER (PARTITION BY t) AS m FROM p)
+SELECT page_id, CAST(strlen(t) AS BIGINT) AS payload_bytes, sha1(t) AS payload_digest,
+CASE WHEN strlen(t) >= 1000 AND m <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+CASE WHEN strlen(t) >= 1000 AND m <> page_id THEN m END AS refers_to FROM q""",
+    "op6_url_filter": f"""WITH u AS (SELECT page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), '{_UPPER}', '{_LOWER}') AS host,
+coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages)
+SELECT page_id, host, path, CASE {" ".join(f"WHEN {_fits(h, p)} THEN '{h}{p}'" for h, p, _ in _RULES)} END AS rule,
+CASE {" ".join(f"WHEN {_fits(h, p)} THEN '{v}'" for h, p, v in _RULES)} {" ".join(f"WHEN {_fits(*x.split('/')[:1], '/')} THEN 'block'" for x in url_filter.LISTED)} ELSE 'allow' END AS verdict FROM u""",
+    "op10_jaccard_join": rf"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+two AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, two.b FROM r JOIN two ON two.a = r.b)
+SELECT r.a AS doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.b) AS component_id FROM r LEFT JOIN n ON n.doc_id = r.a GROUP BY r.a""",
+}
