@@ -30,7 +30,7 @@ def strip_quotes(s: Column) -> Column:
 
 def attributes(field: Column) -> Column:
     """(key, values) of column nine in order: split raw, then unquoted and decoded; repeated keys add to the first."""
-    parts = F.filter(F.transform(F.split(field, ";"), F.trim), lambda p: p != "")
+    parts = F.filter(F.transform(F.split(field, ";"), lambda p: F.trim(p)), lambda p: p != "")
     key = lambda p: F.trim(F.split(p, "=", 2)[0])
     raw = lambda p: F.coalesce(F.get(F.split(p, "=", 2), F.lit(1)), F.lit(""))
     values = lambda p: F.when(raw(p) == "", F.array().cast("array<string>")).otherwise(F.transform(F.split(raw(p), ","), lambda v: percent_decode(strip_quotes(v))))

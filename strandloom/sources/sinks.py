@@ -61,6 +61,10 @@ def _gml_value(c: Column, kind: str) -> Column:
     return F.concat(F.lit('"'), escape_xml(c.cast("string")), F.lit('"'))
 
 
+def _gml_item(name: str, kind: str):
+    return lambda x: F.concat(F.lit(f"    {name} "), _gml_value(x, kind))
+
+
 def _gml_fields(df: DataFrame, skip: set[str]) -> list[Column]:
     out = []
     for f in df.schema.fields:
@@ -68,8 +72,7 @@ def _gml_fields(df: DataFrame, skip: set[str]) -> list[Column]:
             continue
         kind = f.dataType.simpleString()
         if kind.startswith("array"):
-            inner = kind[6:-1]
-            items = F.transform(F.col(f.name), lambda x, inner=inner, name=f.name: F.concat(F.lit(f"    {name} "), _gml_value(x, inner)))
+            items = F.transform(F.col(f.name), _gml_item(f.name, kind[6:-1]))
             alone = F.when(F.size(f.name) == 1, F.concat(F.lit(f'    {f.name} "_networkx_list_start"\n'), F.array_join(items, "\n"))).otherwise(F.array_join(items, "\n"))
             out.append(F.when(F.size(f.name) == 0, F.lit(None)).otherwise(alone))
         else:
