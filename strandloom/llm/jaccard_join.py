@@ -157,6 +157,9 @@ def _prefix(s: np.ndarray, known: tuple[np.ndarray, np.ndarray, np.ndarray], ran
         hot = tok[at] == h
         count[hot] = cnt[at[hot]]
     often = np.count_nonzero(count)
+    # hashes that no set's counted part reaches are of unknown count: after those of two sets, before the frequent ones
+    beyond = np.uint64(int(1.4 * (1 - t[0] / t[1]) * 2**64))
+    count[s > beyond] = np.maximum(count[s > beyond], 2)
     order = np.argsort(count, kind="stable")[:p]  # by hash among equals, as the set is sorted
     return s[order], 255 * often // n
 
