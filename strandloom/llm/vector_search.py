@@ -4,7 +4,9 @@ Vectors are extended by sqrt(M^2 - |x|^2), M the largest length, so that the
 nearest by distance is the largest by inner product; queries get 0 there. A
 fixed random rotation then spreads the energy over all columns. Centroids
 fitted on a bounded sample part the vectors into lists; each query probes its
-nearest lists. Within a list, partial distances grow by blocks of columns;
+nearest lists, as many as hold ``PROBE_AIM`` of the neighbours that sampled
+queries have in a sample (whose neighbours are farther, and so in more lists,
+than those in the whole table). Within a list, partial distances grow by blocks of columns;
 after each block a hypothesis test drops the candidates whose scaled partial
 distance is beyond the query's best so far by more than the rotation's error
 allows. Survivors get exact double-precision products of the original vectors.
@@ -28,8 +30,8 @@ from strandloom.plans.snapshot import snapshot
 
 #: Rows (of smallest hashed id) that centroids are fitted on, rows a list should have, and the most lists.
 SAMPLE, LIST_ROWS, LISTS_MOST = 16_384, 512, 4_096
-#: Share of the lists that a query probes, and the least number.
-PROBE_SHARE, PROBE_LEAST = 0.25, 16
+#: Share of sampled neighbours that must lie in probed lists, sampled queries it is measured with, and the least number of lists probed.
+PROBE_AIM, PROBE_QUERIES, PROBE_LEAST = 0.97, 512, 16
 #: Columns added per scan step, and the test's width in units of the rotation's error (higher: fewer wrong drops).
 COLUMNS, WIDTH = 16, 2.1
 #: Candidates of a list that one task scans, and queries it scans for together.
@@ -53,6 +55,32 @@ def fit_centroids(x: np.ndarray, k: int, rounds: int = 12, seed: int = 11) -> np
     return c
 
 
+def own_lists(z: np.ndarray, c: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.argmin((c * c).sum(1)[None, :] - 2 * z[a : a + 2048] @ c.T, axis=1) for a in range(0, len(z), 2048)])
+
+
+def probes_for(x: np.ndarray, z: np.ndarray, q: np.ndarray, c: np.ndarray, keep: int) -> int:
+    """Nearest lists to probe so that ``PROBE_AIM`` of the ``keep`` neighbours lie in them.
+
+    ``x``: sampled vectors; ``z``: the same lifted as candidates; ``q``: the
+    first of them lifted as queries.
+    """
+    if len(c) <= PROBE_LEAST or len(x) <= keep:
+        return len(c)
+    own, ranks = own_lists(z, c), []
+    for a in range(0, len(q), 64):
+        part = q[a : a + 64]
+        score = x[a : a + len(part)] @ x.T
+        score[np.arange(len(part)), np.arange(a, a + len(part))] = -np.inf  # a query is no neighbour of its own
+        top = np.argpartition(-score, keep - 1, axis=1)[:, :keep]
+        near = np.argsort((c * c).sum(1)[None, :] - 2 * part @ c.T, axis=1)
+        rank = np.empty_like(near)
+        np.put_along_axis(rank, near, np.broadcast_to(np.arange(len(c)), near.shape), axis=1)
+        ranks.append(np.take_along_axis(rank, own[top], axis=1).ravel())
+    most = np.sort(np.concatenate(ranks))
+    return min(len(c), max(PROBE_LEAST, int(most[math.ceil(PROBE_AIM * len(most)) - 1]) + 1))
+
+
 def scan(q: np.ndarray, x: np.ndarray, keep: int) -> list[np.ndarray]:
     """For each rotated query, indices of candidates that may be among its ``keep`` nearest."""
     dim, out = x.shape[1], []
@@ -114,11 +142,14 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, vec_id: str = "vec
         extra = np.zeros(len(x)) if query else np.sqrt(np.maximum(top - (x * x).sum(1), 0))
         return np.column_stack([x, extra]) @ turn
 
-    got = classes.select("h", "v").orderBy("h").limit(min(SAMPLE, n)).select("v").toPandas()["v"]
+    # centroids lie nearer to the rows they were fitted on, so probes are measured on others where there are
+    got = classes.select("h", "v").orderBy("h").limit(min(2 * SAMPLE, n)).select("v").toPandas()["v"]
     sample = np.array([np.asarray(x, np.float64) for x in got])
     lists = min(lists, len(sample))
-    shared = spark.sparkContext.broadcast(fit_centroids(lift(sample, False), lists))
-    probes = min(lists, max(PROBE_LEAST, math.ceil(PROBE_SHARE * lists)))
+    centroids = fit_centroids(lift(sample[:SAMPLE], False), lists)
+    test = sample[-SAMPLE:][::-1]
+    probes = probes_for(test, lift(test, False), lift(test[:PROBE_QUERIES], True), centroids, k)
+    shared = spark.sparkContext.broadcast(centroids)
 
     def block(column) -> np.ndarray:
         return np.array(column.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(-1, dim)

@@ -354,3 +354,21 @@ def test_vector_search_odd_rows(spark):
     many = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(100)], "vec_id long, embedding array<float>")
     first = [r["vec_id"] for r in vector_search.nearest(many).where("query_id = 20").orderBy("rank").collect()]
     assert first == [i for i in range(21) if i != 20]
+
+
+def test_vector_search_recall_of_many_lists(spark):
+    r = np.random.default_rng(5)
+    x = r.standard_normal((20_000, 64)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x = x.astype(np.float32)
+    docs = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(4)
+    got = collections.defaultdict(set)
+    for row in vector_search.nearest(docs, every=100).collect():
+        got[row["query_id"]].add(row["vec_id"])
+    x = x.astype(np.float64)
+    s = x[::100] @ x.T
+    s[np.arange(200), np.arange(0, 20_000, 100)] = -np.inf
+    want = np.argsort(-s, axis=1)[:, :20]
+    recall = np.mean([len(got[100 * i] & set(w.tolist())) / 20 for i, w in enumerate(want)])
+    print("recall", recall)
+    assert recall >= 0.93
