@@ -1,7 +1,16 @@
-"""Remove repeated lines and sentences, keeping the earliest occurrence.
+"""Remove repeated lines, sentences, paragraphs and passages, keeping the earliest occurrence.
 
 Units are lines and the sentences in them (a sentence of fewer than
-``SENTENCE_WORDS`` words counts together with the next one). A unit is
+``SENTENCE_WORDS`` words counts together with the next one), paragraphs that
+have lines too short to count, and all windows of ``WINDOW`` words (as textkit
+parts them), wherever they begin; so a repeated passage of that length goes to
+its last word, and matches reach as far as the words are equal. A window that
+repeats holds a repeated seed, the smallest hash of the ``SEED``-word runs in
+it. Seeds are counted first, and only windows whose seed repeats are written:
+all of them where the seed's neighbouring windows differ from place to place,
+else the first and last. The bit maps that tell may let more windows pass,
+which changes nothing. A window that overlaps the first of its kind in its own text doesn't
+count, so a text of one word over and over keeps a window. A unit is
 normalised (lower case, single blanks), hashed to 128 bits and grouped over
 all documents; the occurrence with the smallest (doc_id, start) stays, all
 others go. Offsets are code points of the original text.
@@ -18,17 +27,146 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandloom.llm import textkit as tk
 from strandloom.plans.snapshot import snapshot
 
+#: Words of a window and of the runs that its seed is chosen from; bits of the seed map a seed, the most bits, and bits in one part of it.
+WINDOW, SEED = 50, 25
+SEED_BITS, BITS_MOST, PART_BITS = 32, 1 << 29, 1 << 16
+
 #: Shorter units are common in any text and are not held to be copies.
 LINE_WORDS, SENTENCE_WORDS = 4, 7
 
 _LINE = re.compile(r"[^\r\n]+(?:\r\n|\r|\n)?")
+_PARAGRAPH = re.compile(r"(?:[^\S\r\n]*\S[^\r\n]*(?:\r\n|\r|\n|$))+")
 _SENTENCE = re.compile(r"[^.!?]*[.!?]+(?:\s+|$)|[^.!?]+$|[^.!?]+[.!?]+")
 
 
+def _runs(h: np.ndarray, size: int, base: int) -> np.ndarray:
+    """Hashes of all runs of ``size`` words, over the bounds of rows too."""
+    n = len(h) - size + 1
+    total = np.zeros(len(h) + 1, np.uint64)
+    np.cumsum(h * tk._power(base, len(h)), out=total[1:])
+    return tk.mix((total[size:] - total[:n]) * tk._power(pow(base, -1, 1 << 64), len(h))[:n])
+
+
+def _slide(x: np.ndarray, size: int, pick: np.ufunc) -> np.ndarray:
+    """The least or largest of every ``size`` neighbours, by doubling."""
+    done = 1
+    while done < size:
+        step = min(done, size - done)
+        x = pick(x[:-step], x[step:])
+        done += step
+    return x
+
+
+_FIRST, _SECOND = 0xD6E8FEB86659FD93 | 1, 0xA0761D6478BD642F | 1
+
+
+def _stretches(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first words of the windows of some rows, seed of each window; first window of each stretch and the total, digest of each).
+
+    A stretch is a run of neighbouring windows of one seed.
+    """
+    last = np.repeat(first[1:], np.diff(first))
+    at = np.flatnonzero((np.arange(len(h)) + WINDOW <= last)[: max(len(h) - WINDOW + 1, 0)])
+    if not len(at):
+        return at, np.empty(0, np.uint64), np.zeros(1, np.int64), np.empty(0, np.uint64)
+    seed = _slide(_runs(h, SEED, _FIRST), WINDOW - SEED + 1, np.minimum)[at]
+    new = np.ones(len(at) + 1, bool)
+    new[1:-1] = (seed[1:] != seed[:-1]) | (at[1:] != at[:-1] + 1)
+    bound = np.flatnonzero(new)
+    one = _runs(h, WINDOW, _FIRST)[at]
+    return at, seed, bound, tk.mix(tk.mix(one[bound[:-1]]) + one[bound[1:] - 1] + np.diff(bound).astype(np.uint64))
+
+
+def _holds(bits: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    slot = (seed & np.uint64(8 * len(bits) - 1)).astype(np.int64)
+    return bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1 == 1
+
+
+def windows(texts: pa.Array, maps: tuple[np.ndarray, np.ndarray] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(row, digests in two columns, start, end) of all windows of texts, or of those that ``maps`` (repeated, mixed) ask for."""
+    for row, data, off in tk.slices(texts):
+        h, start, _, first = tk.words(data, off)
+        at, seed, bound, _ = _stretches(h, first)
+        if maps is not None and len(at):
+            # where all stretches of a seed are equal, so are the places of their windows: the first and last cover the rest
+            ends = np.zeros(len(at), bool)
+            ends[bound[:-1]] = ends[bound[1:] - 1] = True
+            long = np.repeat(np.diff(bound) > WINDOW, np.diff(bound))
+            at = at[_holds(maps[0], seed) & (ends | long | _holds(maps[1], seed))]
+        if not len(at):
+            continue
+        one, two = _runs(h, WINDOW, _FIRST)[at], _runs(tk.mix(h ^ np.uint64(_SECOND)), WINDOW, _SECOND)[at]
+        own = np.searchsorted(first, at, side="right") - 1
+        by = np.lexsort((at, two, one, own))
+        new = np.ones(len(by), bool)
+        new[1:] = (own[by][1:] != own[by][:-1]) | (one[by][1:] != one[by][:-1]) | (two[by][1:] != two[by][:-1])
+        lead = at[by][np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))]
+        keep = np.zeros(len(at), bool)
+        keep[by] = new | (at[by] >= lead + WINDOW)
+        at, own, one, two = at[keep], own[keep], one[keep], two[keep]
+        points = np.zeros(len(data) + 1, np.int64)
+        np.cumsum((data & 0xC0) != 0x80, out=points[1:])
+        after = at + WINDOW
+        stop = np.where(after < first[own + 1], np.append(start, 0)[after], off[own + 1])
+        base = points[off[own]]
+        yield row + own, np.column_stack([one, two]).view(np.int64), points[start[at]] - base, points[stop] - base
+
+
+def seed_maps(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Bit maps of the seeds of two stretches or more, and of those whose stretches differ. ``texts``: one string column."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for _, data, off in tk.slices(b.column(0)):
+                h, _, _, first = tk.words(data, off)
+                _, seed, bound, digest = _stretches(h, first)
+                if len(digest):
+                    n = 1 + (np.diff(bound) > WINDOW)  # a long stretch repeats in itself
+                    yield pa.RecordBatch.from_arrays([pa.array(seed[bound[:-1]].view(np.int64)), pa.array(digest.view(np.int64)), pa.array(n.astype(np.int64))], ["seed", "digest", "n"])
+
+    seeds = texts.mapInArrow(emit, "seed long, digest long, n long").groupBy("seed").agg(F.sum("n").alias("n"), (F.min("digest") != F.max("digest")).alias("mixed"))
+    seeds = snapshot(seeds.where("n > 1").select("seed", "mixed"), "dedup-seeds")
+    size = PART_BITS
+    while size < min(BITS_MOST, SEED_BITS * seeds.count()):
+        size *= 2
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}  # at most as many as there are parts
+        for b in batches:
+            slot, mixed = b.column(1).to_numpy(), b.column(2).to_numpy(zero_copy_only=False)
+            for p in np.unique(slot // PART_BITS):
+                own = slot // PART_BITS == p
+                m = held.setdefault(int(p), np.zeros((2, PART_BITS // 8), np.uint8))
+                for k, x in enumerate((slot[own] % PART_BITS, slot[own & mixed] % PART_BITS)):
+                    np.bitwise_or.at(m[k], x >> 3, np.uint8(1) << (x & 7).astype(np.uint8))
+        for p, m in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([m.tobytes()], pa.binary())], ["part", "bits"])
+
+    slot = F.col("seed").bitwiseAND(F.lit(size - 1))
+    made = seeds.select(F.floor(slot / PART_BITS).cast("int").alias("part"), slot.alias("slot"), "mixed").repartition("part").mapInArrow(mark, "part int, bits binary")
+    out = np.zeros((2, size // 8), np.uint8)
+    for r in made.toLocalIterator():  # 2 x 64 MB in all at most
+        out[:, r["part"] * PART_BITS // 8 : (r["part"] + 1) * PART_BITS // 8] = np.frombuffer(r["bits"], np.uint8).reshape(2, -1)
+    return out[0], out[1]
+
+
 def units(text: str) -> Iterator[tuple[bytes, int, int]]:
     """(digest, start, end) of the units of a text; spans include the white space that follows."""
+    yield from short_units(text)
+    for _, digest, start, end in windows(pa.array([text], pa.large_string())):
+        yield from zip((d.tobytes() for d in digest), start.tolist(), end.tolist(), strict=True)
+
+
+def short_units(text: str) -> Iterator[tuple[bytes, int, int]]:
+    """The lines, sentences and paragraphs among the units."""
+    for m in _PARAGRAPH.finditer(text):
+        lines = [x.split() for x in m.group().lower().splitlines()]
+        w = [x for line in lines for x in line]
+        if len(lines) > 1 and len(w) >= SENTENCE_WORDS and any(len(x) < LINE_WORDS for x in lines):
+            yield hashlib.blake2b(" ".join(w).encode("utf-8", "surrogatepass"), digest_size=16).digest(), m.start(), m.end()
     for line in _LINE.finditer(text):
         a, raw = line.start(), line.group()
         w = raw.lower().split()
@@ -45,7 +183,9 @@ def units(text: str) -> Iterator[tuple[bytes, int, int]]:
 
 
 def text_units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(h1, h2, doc_id, start, end) of every unit of every text."""
+    """(h1, h2, doc_id, start, end) of every unit of every text but the windows that can't change what goes."""
+    texts = docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string"))
+    maps = docs.sparkSession.sparkContext.broadcast(seed_maps(docs.select(F.col(text).cast("string"))))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["h1", "h2", "doc_id", "start", "end"]
@@ -61,7 +201,7 @@ def text_units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
 
             for i in range(b.num_rows):
                 doc, t = b.column(0)[i].as_py(), b.column(1)[i].as_py() or ""
-                for d, s, e in units(t):
+                for d, s, e in short_units(t):
                     ids.append(doc)
                     dig.append(d)
                     start.append(s)
@@ -70,8 +210,10 @@ def text_units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
                     yield flush()
             if ids:
                 yield flush()
+            for row, digest, start_, end_ in windows(b.column(1), maps.value):
+                yield pa.RecordBatch.from_arrays([pa.array(digest[:, 0]), pa.array(digest[:, 1]), b.column(0).take(pa.array(row)), pa.array(start_.astype(np.int32)), pa.array(end_.astype(np.int32))], names)
 
-    return docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string")).mapInArrow(emit, "h1 long, h2 long, doc_id long, start int, end int")
+    return texts.mapInArrow(emit, "h1 long, h2 long, doc_id long, start int, end int")
 
 
 def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -372,3 +372,30 @@ def test_vector_search_recall_of_many_lists(spark):
     recall = np.mean([len(got[100 * i] & set(w.tolist())) / 20 for i, w in enumerate(want)])
     print("recall", recall)
     assert recall >= 0.93
+
+
+def test_substring_dedup_takes_whole_passages(spark):
+    w = [f"w{i}" for i in range(60)]
+    cut = " ".join(w[:45]) + ". " + " ".join(w[45:57]) + ". É " + " ".join(w[57:])
+    short = "\n".join(" ".join(w[i : i + 3]) for i in range(0, 60, 3))
+    few = "one two\nthree four\nfive six\nseven eight"
+    rows = [(1, f"é own words {cut} and on"), (2, f"ü then other {cut} goes off"), (3, f"first\n{short}\nx"), (4, f"second\n{short}\ny"), (5, f"a\n\n{few}\n\nb"), (6, f"c\n\n{few}\n\nd"), (7, "so " * 200), (8, "so " * 200)]
+    got = {r["doc_id"]: r["text"] for r in substring_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    for d in (1, 3, 5):
+        assert got[d] == dict(rows)[d]
+    assert got[2] == "ü then other goes off" and got[4].split() == ["second", "y"] and got[6].split() == ["c", "d"]
+    assert got[7] == "so " * 50 and got[8] == ""
+    docs = documents(spark, "/root/testdata/sf0.001").select("doc_id", "text")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    kept = {r["doc_id"]: r["removed"] for r in substring_dedup.deduplicate(docs).collect()}
+    first = {}
+    for d in sorted(texts):
+        m = list(re.finditer(r"[^\x20\x09-\x0D]+", texts[d]))
+        low = words(texts[d])
+        gone = np.zeros(len(texts[d]), bool)
+        for x in kept[d]:
+            gone[x["start"] : x["end"]] = True
+        for i in range(len(m) - 49):
+            a = first.setdefault(tuple(low[i : i + 50]), (d, i))
+            if a != (d, i) and (a[0] != d or i >= a[1] + 50):
+                assert gone[m[i].start() : m[i + 49].end()].all()
