@@ -158,6 +158,25 @@ def test_greedy_clusters_against_plain_model(spark):
     assert got == want
 
 
+def test_greedy_clusters_of_hot_words_and_long_chains(spark):
+    r = random.Random(4)
+    text = lambda n, letters="ACDE": "".join(r.choice(letters) for _ in range(n))
+    hot = [(f"l{i:03d}", text(80)) for i in range(210)]
+    one = text(30)
+    short = [("s1", one), ("s2", one[:29]), ("s3", one[:12] + "E" * (one[12] != "E") + "A" * (one[12] == "E") + one[13:28])]
+    line = text(300, "FGHIKLMNPQRSTVWY")
+    chain = [(f"t{i:02d}", line[4 * i : 4 * i + 40]) for i in range(54)]
+    rows = hot + short + chain
+    reps, want = [], {}
+    for k, s in sorted(rows, key=lambda x: (-len(x[1]), x[0])):
+        hit = next((q for q, t in reps if C.identity(s, t, False, 0.9) >= 0.9), None)
+        if hit is None:
+            reps.append((k, s))
+        want[k] = hit or k
+    got = {x["k"]: x["centroid"] for x in C.greedy_clusters(spark.createDataFrame(rows, "k string, s string").repartition(4), "k", "s", 0.9, False, 2).collect()}
+    assert want["s2"] == want["s3"] == "s1" and got == want
+
+
 def test_search_finds_a_mutated_gene_on_either_strand():
     r = random.Random(2)
     gene = "".join(r.choice("ACGT") for _ in range(60))
