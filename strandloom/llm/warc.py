@@ -54,11 +54,11 @@ def record_head(record_id: str, url: str | None, digest: bytes, size: int, refer
 
 
 def revisits(pages: DataFrame, page_id: str, payload: str) -> DataFrame:
-    """(id, refers_to) of pages whose payload a page of larger id has too."""
+    """(id, digest, refers_to) of pages whose payload a page of larger id has too."""
     p = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
     d = pages.select(F.col(page_id).cast("long").alias("id"), F.sha2(p, 256).alias("digest"), F.octet_length(p).alias("n")).where(f"id is not null and n >= {REVISIT_LEAST}")
     many = d.groupBy("digest").agg(F.count("*").alias("k"), F.max("id").alias("refers_to")).where("k > 1").select("digest", "refers_to")
-    return d.join(many, "digest").where("id <> refers_to").select("id", "refers_to").distinct()
+    return d.join(many, "digest").where("id <> refers_to").select("id", "digest", "refers_to").distinct()
 
 
 def write_archives(pages: DataFrame, page_id: str = "page_id", url: str = "url", payload: str = "html") -> DataFrame:
@@ -74,7 +74,7 @@ def write_archives(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     seen = snapshot(revisits(pages, page_id, payload), "warc-revisits")
     if seen.count() <= BROADCAST_ROWS:
         seen = F.broadcast(seen)
-    rows = pages.select(F.col(page_id).cast("long").alias("page"), F.col(url).cast("string").alias("u"), p.alias("p")).join(seen, F.col("page") == F.col("id"), "left").select("page", "u", "p", "refers_to")
+    rows = pages.select(F.col(page_id).cast("long").alias("page"), F.col(url).cast("string").alias("u"), p.alias("p"), F.sha2(p, 256).alias("d")).join(seen, (F.col("page") == F.col("id")) & (F.col("d") == F.col("digest")), "left").select("page", "u", "p", "refers_to")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs

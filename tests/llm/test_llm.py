@@ -399,3 +399,12 @@ def test_substring_dedup_takes_whole_passages(spark):
             a = first.setdefault(tuple(low[i : i + 50]), (d, i))
             if a != (d, i) and (a[0] != d or i >= a[1] + 50):
                 assert gone[m[i].start() : m[i + 49].end()].all()
+
+
+def test_warc_ids_that_repeat_with_other_payloads(spark):
+    a, b, c = "a" * 1200, "b" * 1200, "c" * 1200
+    rows = [(1, "u", a), (1, "u", b), (1, "u", c), (2, "u", a), (3, "u", b)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = warc.read_archives(warc.write_archives(pages)).where("last").select("record_id", "record_type", "refers_to", "payload_bytes").collect()
+    kinds = sorted((r["record_id"].split(":")[-1], r["record_type"], (r["refers_to"] or "").split(":")[-1]) for r in got)
+    assert kinds == [("1", "response", ""), ("1", "revisit", "2"), ("1", "revisit", "3"), ("2", "response", ""), ("3", "response", "")]
