@@ -15,7 +15,6 @@ of their length: a running number within each task plus the task's offset.
 from __future__ import annotations
 
 import json
-import re
 from collections import defaultdict, deque
 from collections.abc import Iterator
 
@@ -31,26 +30,20 @@ from strandloom.plans.snapshot import snapshot
 CAPACITY = 1024
 #: Ids that a window may miss before a piece is cut for it.
 SLACK_MOST = 4
-#: Words that a worker remembers the ids of.
-WORDS_MOST = 700_000
+#: Bytes of ids that a task holds before it hands them on.
+HELD_BYTES = 1 << 21
 
-# A blank that is not simply one blank between two other characters: where words can't be encoded one by one.
-_ODD = re.compile(r"\s \s|  |^ | $")
 _engines: dict[str, "ByteBpe"] = {}
 
 
 class ByteBpe:
-    """Ids of a byte-level BPE file, word by word with a memory of words.
-
-    One blank always opens the word that follows it, so the text between two
-    blanks has the same ids wherever it stands. Texts with other runs of white
-    space beside a blank are encoded whole.
-    """
+    """Ids of a byte-level BPE file. It keeps no words, so a worker's memory doesn't grow with what it has read."""
 
     def __init__(self, path: str):
         import tiktoken
 
-        model = json.load(open(path, encoding="utf-8"))
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)
         vocab = model["model"]["vocab"]
         special = {x["content"] for x in model.get("added_tokens", ())}
         keep = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -59,27 +52,10 @@ class ByteBpe:
         import public_tokenizers
 
         self.bpe = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        encode = self.bpe.encode_ordinary
-
-        class Memory(dict):
-            def __missing__(self, word: str) -> bytes:
-                if len(self) > WORDS_MOST:
-                    self.clear()
-                ids = self[word] = np.array(encode(" " + word), dtype="<u4").tobytes()
-                return ids
-
-        self.memory = Memory()
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids; strings of special tokens are ordinary text."""
-        if not text:
-            return b""
-        if _ODD.search(text):
-            return np.array(self.bpe.encode_ordinary(text), dtype="<u4").tobytes()
-        parts = text.split(" ")
-        head = np.array(self.bpe.encode_ordinary(parts[0]), dtype="<u4").tobytes()
-        del parts[0]
-        return head + b"".join(map(self.memory.__getitem__, parts))
+        return self.bpe.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes() if text else b""
 
 
 def engine(path: str) -> ByteBpe:
@@ -112,8 +88,8 @@ def tokenize_and_cut(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", te
 
         for batch in batches:
             for i in range(batch.num_rows):
-                doc, t = batch.column(0)[i].as_py(), batch.column(1)[i].as_py() or ""
-                ids = bpe.encode(t) + end
+                doc = batch.column(0)[i].as_py()
+                ids = bpe.encode(batch.column(1)[i].as_py() or "") + end
                 n = len(ids) // 4
                 for a in range(0, len(ids), wide):
                     x = ids[a : a + wide]
@@ -122,7 +98,7 @@ def tokenize_and_cut(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", te
                         c.append(v)
                     nth[k] += 1
                 held += len(ids)
-                if held > 1 << 23:
+                if held > HELD_BYTES:
                     yield flush()
                     held = 0
         if cols[0]:
