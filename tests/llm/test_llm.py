@@ -94,7 +94,14 @@ def test_sentencepiece_equals_library(spark):
     path = public_tokenizers.path("piece_bpe_32k.model")
     lib = sentencepiece.SentencePieceProcessor(model_file=path)
     texts = [r["text"] for r in documents(spark, TINY).collect()] + ["", " ", "  a  b ", "a\n\n b", "▁x", "x" * 300, "🙂é ﬁ", "a  " * 9, "the" * 90]
+    import random
+
+    r = random.Random(3)
+    texts += ["".join(r.choice("aabcdeil noprst▁.é漢🙂") for _ in range(r.choice([5, 30, 200]))) for _ in range(400)]
+    # many words of a length advance together, few on their own
+    texts += [" ".join("".join(r.choice("aeinorst") for _ in range(r.choice([3, 6, 9, 12]))) for _ in range(3000)), " ".join("".join(r.choice("nmaé漢") for _ in range(7)) for _ in range(300))]
     m = pieces.model(path)
+    m.forget()
     for t, ids in zip(texts, m.encode(texts)):
         got = np.frombuffer(ids, "<i4")
         assert got.tolist() == lib.encode(t), t[:50]
@@ -122,6 +129,15 @@ def _loads(data, kind):
         return False
 
 
+def test_op1_equals_library(spark):
+    import sentencepiece
+
+    lib = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    want = {r["doc_id"]: (len(lib.encode(r["text"])), hashlib.sha256(lib.decode(lib.encode(r["text"])).encode()).hexdigest()) for r in documents(spark, TINY).collect()}
+    got = q.op1_sentencepiece(spark, TINY).collect()
+    assert {r["doc_id"]: (r["n_ids"], r["decoded_sha256"]) for r in got} == want and all(r["round_trip"] for r in got)
+
+
 def test_sentencepiece_odd_rows(spark):
     path = public_tokenizers.path("piece_bpe_32k.model")
     for make in (odd, none):
