@@ -311,26 +311,53 @@ def test_substring_dedup(spark):
     got = {r["doc_id"]: r for r in substring_dedup.deduplicate(docs).collect()}
     assert got[1]["text"] == rows[1][1] and got[3]["text"] == "own text of three." and got[8]["text"] == ""
     assert [(s["start"], s["end"]) for s in got[3]["removed"]] == [(0, len(line) + 1)]
-    assert "second sentence" in got[2]["text"] and "second sentence" not in got[5]["text"] and got[5]["text"].startswith("before it") and got[5]["text"].endswith("after it.")
-    assert got[4]["text"] is None and got[6]["text"] == "" and got[7]["text"] == "short\nshort"
+    assert got[2]["text"] == rows[2][1] and got[5]["text"] == rows[3][1]  # neither a line nor a window of fifty words
+    assert got[4]["text"] is None and got[6]["text"] == "" and got[7]["text"] == "short\n"
     assert substring_dedup.deduplicate(odd(spark)).columns == ["doc_id", "text", "ids", "kept", "a.b", "removed"]
     assert substring_dedup.deduplicate(odd(spark)).count() == len(ODD_ROWS) and substring_dedup.deduplicate(none(spark)).count() == 0
 
 
-def test_op7_equals_brute_force(spark):
-    rows = [(r["doc_id"], r["text"]) for r in documents(spark, TINY).collect()]
-    first = {}
-    for d, t in sorted(rows):
-        for dig, s, e in substring_dedup.units(t):
-            first[dig] = min(first.get(dig, (d, s)), (d, s))
-    got = {r["doc_id"]: r for r in q.op7_substring_dedup(spark, TINY).collect()}
+def brute_dedup(rows):
+    """Lines and 50-word windows of (id, text), found and compared as texts."""
+    found = []
     for d, t in rows:
-        keep = [True] * len(t)
-        for dig, s, e in substring_dedup.units(t):
-            if first[dig] != (d, s):
-                keep[s:e] = [False] * (e - s)
-        kept = "".join(c for c, k in zip(t, keep) if k)
-        assert got[d]["kept_sha256"] == hashlib.sha256(kept.encode()).hexdigest() and got[d]["removed_chars"] == len(t) - len(kept)
+        for m in re.finditer(r"[^\r\n]*(?:\r\n|\r|\n|$)", t or ""):
+            w = words(m.group())
+            if w:
+                found.append((d, m.start(), m.end(), ("line", *w)))
+        at = list(re.finditer(r"[^\x20\x09-\x0D]+", t or ""))
+        low, seen = words(t), {}
+        for i in range(len(at) - 49):
+            key = tuple(low[i : i + 50])
+            if seen.setdefault(key, i) == i or i >= seen[key] + 50:
+                found.append((d, at[i].start(), at[i + 50].start() if i + 50 < len(at) else len(t), key))
+    first = {}
+    for d, s, e, key in found:
+        first[key] = min(first.get(key, (d, s)), (d, s))
+    gone = {d: np.zeros(len(t or ""), bool) for d, t in rows}
+    for d, s, e, key in found:
+        if first[key] != (d, s):
+            gone[d][s:e] = True
+    return {d: "".join(c for c, g in zip(t or "", gone[d]) if not g) for d, t in rows}
+
+
+def test_op7_equals_brute_force(spark, monkeypatch):
+    rows = [(r["doc_id"], r["text"]) for r in documents(spark, TINY).collect()]
+    want = brute_dedup(rows)
+    for r in q.op7_substring_dedup(spark, TINY).collect():
+        assert r["kept_sha256"] == hashlib.sha256(want[r["doc_id"]].encode()).hexdigest()
+    # many blocks and ranges, and texts cut into slices
+    monkeypatch.setattr(substring_dedup, "BLOCK_UNITS", 700)
+    monkeypatch.setattr(substring_dedup, "RANGE_UNITS", 100)
+    got = substring_dedup.deduplicate(documents(spark, TINY).repartition(3)).collect()
+    assert {r["doc_id"]: r["text"] for r in got} == want
+
+
+def test_substring_dedup_odd_rows(spark):
+    rows = [(1, "a\r\nb c\ra\n\nx"), (1, "b c\nother"), (None, "x\ny"), (2, "y\nz\n"), (2, "y\nz\n"), (3, "z"), (4, "é\u2028é\nü")]
+    got = [tuple(r) for r in substring_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).select("doc_id", "text").collect()]
+    assert sorted(got, key=str)[:2] in ([(1, "a\r\nb c\r\n"), (1, "other")], [(1, "a\r\n\n"), (1, "b c\nother")])
+    assert sorted(got, key=str)[2:] == [(2, "z\n"), (2, "z\n"), (3, ""), (4, "é\u2028é\nü"), (None, "x\ny")]
 
 
 def exact(rows, every, k):
