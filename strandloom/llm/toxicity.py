@@ -1,24 +1,27 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-One model is counted from toxic training texts, one from ordinary ones. As in
-Kneser-Ney's lower order, a word counts by how many different words it
-follows, not how often it stands there: P_c(w) = max(N_c(.w) - D, 0) / N_c(..)
-+ D T_c / N_c(..) * P(w), with T_c the word types of the class. The backoff
-P(w) is the continuation distribution of *all* documents, shared by both
-classes, so a word that neither class knows well has nearly the same
-probability under both and says nothing. A text is scored by differences of
-log-likelihoods divided by length: of the whole text, of its best window of
-``WINDOW`` words, and of what strongly toxic words add. A logistic
-function fitted on rows that the counts have not seen maps them to 0..1.
-
-Word types live in ``SLOTS`` hashed slots, and the words before a word in a
-64-bit map that is read by linear counting. All tables so have a fixed size
-(8 MB to 16 MB each), whatever the corpus; every word of every document is
-counted.
-
-Higher-order class counts are left out: nearly every word pair of these texts
-is new, and a table of pairs has no size bound, whereas the backoff
-distributions above decide.
+One model is counted from toxic training texts, one from as many ordinary
+ones: P_c(v | u) = max(c(uv) - D2, 0) / c(u.) + L_c(u) P_c(v), with the
+continuation level P_c(v) = max(N_c(.v) - D1, 0) / N_c(..) + L_c P(v), where
+N_c(.v) counts the different words before v. The last backoff P(v) is the
+continuation distribution of *all* documents, shared by both classes: exact
+counts of the different words that each word of the vocabulary follows in the
+whole corpus. What a class lacks is left to it, so rare expressions weigh
+little. Words that no training text has would back off to the same value in
+both models and say nothing.
+
+A text is scored by differences of log-likelihoods divided by length: of the
+whole text under the pair models, and of its best word and its ``BEST`` best words
+under the continuation levels. Of documents with many copies the pair level
+learns whole passages by heart, so single words are left to the continuation
+level, in which a copy counts once; how much that is discounted
+(``DISCOUNTS``) is chosen, and the three numbers are mapped to 0..1 by a
+logistic function, on rows that the counts have not seen.
+
+Class counts come from at most ``FIT_ROWS`` rows of a class and ``FIT_BYTES``
+of text, those of smallest hashed doc_id. All documents are counted for P(v),
+in tables that Spark aggregates by hash range; they grow with the corpus, and
+only one number per word of the vocabulary reaches the driver.
 """
 
 from __future__ import annotations
@@ -28,103 +31,202 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandloom.llm import textkit as tk
 from strandloom.llm.labels import fold, with_label
 
-SLOTS, CHUNK, DISCOUNT, WINDOW = 1 << 21, 1 << 16, 2.5, 4
-#: Of five folds by crc32: 0 is held out, 1 fits the logistic function (at most so many rows of three numbers), 2-4 are counted.
-FOLDS, HELD_OUT, CALIBRATION, CALIBRATION_ROWS = 5, 0, 1, 20_000
-TABLES = ("all", "toxic", "ordinary")
+#: Bounds of the sample of a class, and of calibration rows (three numbers for each discount).
+FIT_ROWS, FIT_BYTES, CALIBRATION_ROWS = 2048, 1 << 25, 20_000
+#: Of five folds by crc32: 0 is held out, 1 calibrates, 2-4 are counted.
+FOLDS, HELD_OUT, CALIBRATION = 5, 0, 1
+#: Discounts of the continuation level that are tried, and how many best words of a text are taken together.
+DISCOUNTS, BEST = (0.75, 2.0, 3.5, 5.0), 3
+#: Words a task counts at a time, and words aimed at in a hash range (``WORD_BYTES`` of text each).
+COUNT_AT_ONCE, RANGE_WORDS, WORD_BYTES = 1 << 20, 1 << 21, 6
+#: The hash that stands before the first word of a text.
+BEGIN = np.uint64(0)
 
 
-def _popcount(x: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(x).astype(np.int64)
-
+def neighbours(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
+    """(word before, word, first word of each row and the total, first row) of slices of texts."""
+    for row, data, off in tk.slices(texts):
+        h, _, _, first = tk.words(data, off)
+        before = np.empty_like(h)
+        before[1:] = h[:-1]
+        before[first[:-1][first[:-1] < len(h)]] = BEGIN
+        yield before, h, first, row
 
-#: Linear counting: estimate of distinct values from the number of bits set in 64.
-DISTINCT = np.array([-64 * math.log(1 - min(b, 63.5) / 64) for b in range(65)])
 
+def class_counts(rows: DataFrame) -> tuple[np.ndarray, ...]:
+    """(word before, word, count in toxic, count in ordinary texts) of all pairs of the bounded sample ``rows``: (t, y)."""
 
-def continuation_maps(rows: DataFrame) -> dict[str, np.ndarray]:
-    """The merged 64-bit maps of predecessors for all, toxic and ordinary texts. ``rows``: (t, cls)."""
+    def merge(u: np.ndarray, v: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        order = np.lexsort((v, u))
+        u, v, c = u[order], v[order], c[order]
+        at = np.flatnonzero(np.concatenate([[True], (u[1:] != u[:-1]) | (v[1:] != v[:-1])])) if len(u) else np.zeros(0, np.int64)
+        return u[at], v[at], np.add.reduceat(c, at, axis=0).astype(np.uint32) if len(at) else c
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maps = [np.zeros(SLOTS, np.uint64) for _ in TABLES]
+        held = []
         for b in batches:
-            cls = np.array([-1 if c is None else c for c in b.column(1).to_pylist()], np.int64)
-            for row, data, off in tk.slices(b.column(0)):
-                h, _, _, first = tk.words(data, off)
-                if not len(h):
-                    continue
-                before = np.empty_like(h)
-                before[0] = 0
-                before[1:] = h[:-1]
-                before[first[:-1][first[:-1] < len(h)]] = 0  # the first word of a text follows nothing
-                slot = (h & np.uint64(SLOTS - 1)).astype(np.int64)
-                bit = np.uint64(1) << (tk.mix(before) >> np.uint64(58))
-                np.bitwise_or.at(maps[0], slot, bit)
-                c = np.repeat(cls[row : row + len(first) - 1], np.diff(first))
-                for k, v in ((1, 1), (2, 0)):
-                    np.bitwise_or.at(maps[k], slot[c == v], bit[c == v])
-        for k, m in enumerate(maps):
-            for a in range(0, SLOTS, CHUNK):
-                at = np.flatnonzero(m[a : a + CHUNK])
-                if len(at):
-                    yield pa.RecordBatch.from_arrays([pa.array([k * (SLOTS // CHUNK) + a // CHUNK], pa.int32()), pa.array([at.astype("<u2").tobytes()], pa.binary()), pa.array([m[a : a + CHUNK][at].tobytes()], pa.binary())], ["part", "at", "bits"])
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}  # at most as many as there are parts; rows stream through
+            y = b.column(1).to_numpy(zero_copy_only=False)
+            for u, v, first, row in neighbours(b.column(0)):
+                own = np.repeat(y[row : row + len(first) - 1], np.diff(first))
+                held.append(merge(u, v, np.column_stack([own == 1, own != 1]).astype(np.uint32)))
+        if held:
+            u, v, c = merge(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (u, v, c)], ["u", "v", "c"])
+
+    got = rows.mapInArrow(count, "u binary, v binary, c binary").collect()  # FIT_BYTES of text a class at most
+    kinds = (("u", np.uint64), ("v", np.uint64), ("c", np.uint32))
+    u, v, c = (np.concatenate([np.frombuffer(r[k], d) for r in got] or [np.zeros(0, d)]) for k, d in kinds)
+    u, v, c = merge(u, v, c.reshape(-1, 2))
+    return u, v, c[:, 0].astype(np.int64), c[:, 1].astype(np.int64)
+
+
+def _place(vocabulary: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Places in the sorted vocabulary; its length for other words."""
+    if not len(vocabulary):
+        return np.zeros(len(words), np.int64)
+    at = np.searchsorted(vocabulary, words)
+    at[at == len(vocabulary)] = 0
+    return np.where(vocabulary[at] == words, at, len(vocabulary))
+
+
+def continuations(texts: DataFrame, vocabulary: np.ndarray, often: np.ndarray, size: int) -> np.ndarray:
+    """How many different words each word of the vocabulary follows in all texts (one string column of ``size`` bytes).
+
+    ``often``: share of a word among all words, by which frequent ones are parted over ranges.
+    """
+    ranges = max(4, int(size // WORD_BYTES // RANGE_WORDS))
+    parts = np.maximum(1, np.ceil(4 * ranges * often)).astype(np.int64)
+    shared = texts.sparkSession.sparkContext.broadcast((vocabulary, parts))
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, parts = shared.value
+        held, n = [], 0
+
+        def flush():
+            # 24 bits of the word's place, 40 of the hash before it
+            key = np.unique(np.concatenate(held))
+            v, u = (key >> np.uint64(40)).astype(np.int64), key & np.uint64((1 << 40) - 1)
+            r = (tk.mix((v << 20).astype(np.uint64) + u % parts[v].astype(np.uint64)) % np.uint64(ranges)).astype(np.int32)
+            order = np.argsort(r, kind="stable")  # keeps words together
+            v, u, r = v[order], u[order], r[order]
+            cut = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1], [True]])) if len(r) else [0]
+            low = np.ascontiguousarray(u.view(np.uint8).reshape(-1, 8)[:, :5])
+            rows = []
+            for a, b in zip(cut[:-1], cut[1:], strict=True):
+                at = np.flatnonzero(np.concatenate([[True], v[a + 1 : b] != v[a : b - 1], [True]]))
+                rows.append((int(r[a]), v[a:b][at[:-1]].astype(np.uint32).tobytes(), np.diff(at).astype(np.uint32).tobytes(), low[a:b].tobytes()))
+            held.clear()
+            r, *rest = zip(*rows, strict=True) if rows else ((), (), (), ())
+            return pa.RecordBatch.from_arrays([pa.array(r, pa.int32()), *(pa.array(x, pa.binary()) for x in rest)], ["rng", "v", "many", "u"])
+
         for b in batches:
-            for p, at, bits in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                m = held.setdefault(p, np.zeros(CHUNK, np.uint64))
-                m[np.frombuffer(at, "<u2")] |= np.frombuffer(bits, np.uint64)
-        for p, m in held.items():
-            yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([m.tobytes()], pa.binary())], ["part", "bits"])
-
-    made = rows.mapInArrow(count, "part int, at binary, bits binary").repartition("part").mapInArrow(merge, "part int, bits binary")
-    out = np.zeros(len(TABLES) * SLOTS, np.uint64)
-    for r in made.toLocalIterator():  # 3 x 16 MB in all, whatever the corpus
-        out[r["part"] * CHUNK : (r["part"] + 1) * CHUNK] = np.frombuffer(r["bits"], np.uint64)
-    return {n: out[i * SLOTS : (i + 1) * SLOTS] for i, n in enumerate(TABLES)}
-
-
-def log_ratio(maps: dict[str, np.ndarray]) -> np.ndarray:
-    """log P_toxic(w) - log P_ordinary(w) of each slot."""
-    base = DISTINCT[_popcount(maps["all"])]
-    shared = (base + 0.5) / (base.sum() + 0.5 * SLOTS)
-    logs = []
-    for name in TABLES[1:]:
-        n = DISTINCT[_popcount(maps[name])]
-        total = max(n.sum(), 1.0)
-        taken = np.minimum(n, DISCOUNT)
-        back = taken.sum() / total if n.any() else 1.0
-        logs.append(np.log((n - taken) / total + back * shared))
-    return (logs[0] - logs[1]).astype(np.float32)
-
-
-def features(texts: pa.Array, ratio: np.ndarray) -> np.ndarray:
-    """Rows of (mean, best window's mean, log of what strong words add) per text; zeros without words."""
-    out = []
-    for _, data, off in tk.slices(texts):
-        h, _, _, first = tk.words(data, off)
+            for u, v, _, _ in neighbours(b.column(0)):
+                at = _place(vocabulary, v)
+                ok = at < len(vocabulary)
+                held.append(np.unique((at[ok].astype(np.uint64) << np.uint64(40)) | (tk.mix(u[ok]) >> np.uint64(24))))
+                n += len(held[-1])
+                if n >= COUNT_AT_ONCE:
+                    yield flush()
+                    n = 0
+        if held:
+            yield flush()
+
+    def count(g: pa.Table) -> pa.Table:
+        v, many = (np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in g[c]]) for c in ("v", "many"))
+        low = np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in g["u"]]).reshape(-1, 5)
+        wide = np.zeros((len(low), 8), np.uint8)
+        wide[:, :5] = low
+        key = np.unique(wide.view(np.uint64).ravel() | (np.repeat(v, many).astype(np.uint64) << np.uint64(40)))
+        own, n = np.unique((key >> np.uint64(40)).astype(np.uint32), return_counts=True)
+        return pa.table({"v": pa.array([own.tobytes()], pa.binary()), "n": pa.array([n.astype(np.int64).tobytes()], pa.binary())})
+
+    out = np.zeros(len(vocabulary), np.int64)
+    for r in texts.mapInArrow(emit, "rng int, v binary, many binary, u binary").groupBy("rng").applyInArrow(count, "v binary, n binary").toLocalIterator():
+        np.add.at(out, np.frombuffer(r["v"], np.uint32), np.frombuffer(r["n"], np.int64))
+    return out
+
+
+def discounts(counts: np.ndarray) -> np.ndarray:
+    """What is taken from each count: three values for 1, 2 and more, by the usual estimate from counts of counts."""
+    n = [max(int(np.count_nonzero(counts == i)), 1) for i in (1, 2, 3, 4)]
+    y = n[0] / (n[0] + 2 * n[1])
+    d = [min(max(i - (i + 1) * y * n[i] / n[i - 1], 0.1 * i), 0.95 * i) for i in (1, 2, 3)]
+    return np.array([0.0, *d])[np.minimum(counts, 3)]
+
+
+def class_model(u: np.ndarray, v: np.ndarray, c: np.ndarray, shared: np.ndarray, fixed: float | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(discounted share of each pair, backoff weight of each word before, continuation probability of each word).
+
+    ``u``, ``v``: places of the pairs' words (u may be one past the
+    vocabulary, the begin of a text); ``c``: their counts in the class;
+    ``shared``: the backoff distribution; ``fixed``: discount of the
+    continuation level, else estimated. A word before that the class lacks
+    has weight 1.
+    """
+    some = c > 0
+    follows = np.bincount(v[some], minlength=len(shared))
+    taken1 = np.minimum(follows, fixed) if fixed else np.where(follows > 0, discounts(follows), 0.0)
+    total = max(follows.sum(), 1)
+    p1 = (follows - taken1) / total + (taken1.sum() / total if some.any() else 1.0) * shared
+    taken2 = np.zeros(len(c))
+    taken2[some] = discounts(c[some])
+    of = np.bincount(u, c, minlength=len(shared) + 1)
+    back = np.where(of > 0, np.bincount(u, taken2, minlength=len(shared) + 1) / np.maximum(of, 1), 1.0)
+    return (c - taken2) / np.maximum(of[u], 1), back, p1
+
+
+def fit_ratios(u: np.ndarray, v: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray, vocabulary: np.ndarray, follows: np.ndarray) -> dict[str, np.ndarray]:
+    """Log ratios of toxic to ordinary: of pairs, of words before and words where a pair is unknown, and of words for each discount."""
+    shared = np.maximum(follows, 1) / max(np.maximum(follows, 1).sum(), 1)
+    a, b = _place(vocabulary, u), _place(vocabulary, v)
+    (hi_t, back_t, p_t), (hi_o, back_o, p_o) = (class_model(a, b, c, shared) for c in (toxic, ordinary))
+    pair = np.log(hi_t + back_t[a] * p_t[b]) - np.log(hi_o + back_o[a] * p_o[b])
+    key = (a.astype(np.uint64) << np.uint64(32)) | b.astype(np.uint64)
+    order = np.argsort(key)
+    single = [np.log(t) - np.log(o) for t, o in ((class_model(a, b, c, shared, d)[2] for c in (toxic, ordinary)) for d in DISCOUNTS)]
+    return {
+        "vocabulary": vocabulary, "key": key[order], "pair": pair[order].astype(np.float32),
+        "before": (np.log(np.maximum(back_t, 1e-12)) - np.log(np.maximum(back_o, 1e-12))).astype(np.float32),
+        "word": np.append(np.log(p_t) - np.log(p_o), 0).astype(np.float32), "single": np.column_stack([np.append(x, 0) for x in single]).astype(np.float32),
+    }
+
+
+def features(texts: pa.Array, model: dict[str, np.ndarray], picks: tuple[int, ...]) -> np.ndarray:
+    """Rows of (mean over the text by pairs; for each of the picked discounts the best word and the mean of the best ones) per text; zeros without words."""
+    out, size = [], len(model["vocabulary"])
+    for u, h, first, _ in neighbours(texts):
         n = np.diff(first)
-        f = np.zeros((len(n), 3))
+        f = np.zeros((len(n), 1 + 2 * len(picks)))
         some = np.flatnonzero(n > 0)
         if len(some):
-            r = ratio[(h & np.uint64(SLOTS - 1)).astype(np.int64)].astype(np.float64)
             start = first[:-1][some]
+            v = _place(model["vocabulary"], h)
+            before = np.full(len(v), size)
+            before[1:] = v[:-1]
+            before[start] = size
+            r = np.where(v < size, model["before"][before] + model["word"][v], 0.0)
+            if len(model["key"]):
+                key = (before.astype(np.uint64) << np.uint64(32)) | v.astype(np.uint64)
+                at = np.searchsorted(model["key"], key)
+                at[at == len(model["key"])] = 0
+                # a word out of the vocabulary is no context, and not the begin of a text
+                r = np.where((model["key"][at] == key) & ((before < size) | (u == BEGIN)), model["pair"][at], r)
             f[some, 0] = np.add.reduceat(r, start) / n[some]
-            total = np.concatenate([[0], np.cumsum(r)])
-            at = np.arange(len(r))
-            end = np.minimum(at + WINDOW, np.repeat(first[1:], n))
-            begin = np.maximum(end - WINDOW, np.repeat(first[:-1], n))
-            f[some, 1] = np.maximum.reduceat((total[end] - total[begin]) / (end - begin), start)
-            f[some, 2] = np.log1p(np.add.reduceat(np.maximum(r - 2, 0), start))
+            row = np.repeat(np.arange(len(n)), n)
+            few = np.arange(len(v)) - np.repeat(first[:-1], n) < BEST
+            for k, d in enumerate(picks):
+                r = model["single"][v, d].astype(np.float64)
+                order = np.lexsort((-r, row))[few]  # the best of each row
+                f[some, 1 + 2 * k] = np.maximum.reduceat(r, start)
+                f[:, 2 + 2 * k] = np.bincount(row[few], r[order], minlength=len(n)) / BEST
         out.append(f)
-    return np.concatenate(out) if out else np.zeros((0, 3))
+    return np.concatenate(out) if out else np.zeros((0, 1 + 2 * len(picks)))
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -145,33 +247,68 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[np.
     return mean, scale, w
 
 
+def _sample(rows: DataFrame, bytes_most: int) -> int | None:
+    """The largest hash of the sample of ``rows`` (o, t): at most FIT_ROWS of the smallest hashes, within ``bytes_most`` unless the first alone is larger."""
+    got = rows.select("o", F.octet_length("t").alias("n")).orderBy("o").limit(FIT_ROWS).collect()
+    size, last = 0, None
+    for r in got:
+        size += r["n"] or 0
+        if last is not None and size > bytes_most:
+            break
+        last = r["o"]
+    return last
+
+
 def score_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of ``docs``.
 
     Null, empty and blank texts have the score of a text that says nothing.
     Without labels of both classes all scores are the rate of the one there
     is (a half without any). Repeated rows are scored each; a null doc_id is
-    held out. Scores use the text alone.
+    held out. Equal texts have equal scores, and ties no say. An empty table
+    gives no rows. Scores use the text alone; columns other than the two named
+    are ignored, whatever their names.
     """
     sc = docs.sparkSession.sparkContext
     rows = with_label(docs, labels, label, doc_id, text)
     f = fold(F.col("doc_id"), FOLDS)
-    cls: Column = F.when(~f.isin(HELD_OUT, CALIBRATION), F.col("y"))
-    ratio = sc.broadcast(log_ratio(continuation_maps(rows.select("t", cls.alias("cls")))))
+    train = rows.where(F.col("y").isNotNull() & ~f.isin(HELD_OUT, CALIBRATION)).withColumn("o", F.xxhash64("doc_id"))
+    last = {y: _sample(train.where(F.col("y") == y), FIT_BYTES) for y in (1, 0)}
+    chosen = train.where(" or ".join([f"(y = {y} and o <= {o})" for y, o in last.items() if o is not None] or ["false"]))
+    u, v, toxic, ordinary = class_counts(chosen.select("t", "y"))
+    vocabulary = np.unique(v)
+    if len(vocabulary) >= 1 << 24:
+        raise ValueError("the sample has more words than a key can number")
+    often = np.bincount(_place(vocabulary, v), toxic + ordinary, minlength=len(vocabulary)) / max(toxic.sum() + ordinary.sum(), 1)
+    t = docs.select(F.col(text).cast("string").alias("t"))
+    follows = np.zeros(0, np.int64)
+    if len(vocabulary):
+        follows = continuations(t, vocabulary, often, t.agg(F.sum(F.octet_length("t"))).first()[0] or 0)
+    ratios = sc.broadcast(fit_ratios(u, v, toxic, ordinary, vocabulary, follows))
+    every = tuple(range(len(DISCOUNTS)))
+    names = [f"x{i}" for i in range(1 + 2 * len(every))]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = features(b.column(0), ratio.value)
-            yield pa.RecordBatch.from_arrays([*(pa.array(x[:, i]) for i in range(3)), b.column(1), b.column(2)], ["a", "b", "c", "y", "o"])
+            x = features(b.column(0), ratios.value, every)
+            yield pa.RecordBatch.from_arrays([*(pa.array(x[:, i]) for i in range(x.shape[1])), b.column(1), b.column(2)], [*names, "y", "o"])
 
     fit = rows.where((f == CALIBRATION) & F.col("y").isNotNull()).withColumn("o", F.xxhash64("doc_id"))
-    measured = fit.select("t", "y", "o").mapInArrow(measure, "a double, b double, c double, y int, o long").orderBy("o").limit(CALIBRATION_ROWS)
-    got = measured.select("a", "b", "c", "y").toPandas().to_numpy(np.float64)
-    mean, scale, w = fit_logistic(got[:, :3], got[:, 3])
+    measured = fit.select("t", "y", "o").mapInArrow(measure, ", ".join(f"{n} double" for n in names) + ", y int, o long").orderBy("o").limit(CALIBRATION_ROWS)
+    got = measured.select(*names, "y").toPandas().to_numpy(np.float64)
+    y, best = got[:, -1], None
+    for d in every:
+        x = got[:, [0, 1 + 2 * d, 2 + 2 * d]]
+        mean, scale, w = fit_logistic(x, y)
+        z = np.clip((x - mean) / scale @ w[:-1] + w[-1], -30, 30)
+        loss = float(np.mean(np.log1p(np.exp(np.where(y == 1, -z, z))))) if len(y) else 0.0
+        if best is None or loss < best[0]:
+            best = (loss, d, mean, scale, w)
+    _, pick, mean, scale, w = best
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = (features(b.column(2), ratio.value) - mean) / scale
+            x = (features(b.column(2), ratios.value, (pick,)) - mean) / scale
             p = 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30)))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
