@@ -87,7 +87,7 @@ def _sent(docs: DataFrame, doc_id: str, text: str, bits: int) -> DataFrame:
         part, blocks = tk.partition_id(), 0
         number: dict[int, int] = {}
         sets: list[np.ndarray] = []
-        rows: list[tuple[int, bool, int, int]] = []
+        rows: list[tuple[int, bool, int, int, int]] = []
         held = 0
 
         def flush():
@@ -101,8 +101,7 @@ def _sent(docs: DataFrame, doc_id: str, text: str, bits: int) -> DataFrame:
             low = np.ascontiguousarray(((h[order] << np.uint64(bits)) >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6])
             cut = _cuts(r)
             pairs = list(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)) if len(r) else []
-            ids, known, size, digest = (np.array(c) for c in zip(*rows, strict=True))
-            about = np.column_stack([ids.astype(np.int64), known.astype(np.int64), size.astype(np.int64), digest.astype(np.int64)])
+            about = np.array(rows, np.int64)
             out = pa.RecordBatch.from_arrays(
                 [
                     pa.array([-1 - block, *(r[a].item() for a, _ in pairs)], pa.int64()),
@@ -121,19 +120,19 @@ def _sent(docs: DataFrame, doc_id: str, text: str, bits: int) -> DataFrame:
 
         for b in batches:
             ids = b.column(0).to_pylist()
-            for doc, s in zip(ids, tk.shingle_sets(b.column(1)), strict=True):
+            for doc, s, text in zip(ids, tk.shingle_sets(b.column(1)), b.column(2).to_pylist(), strict=True):
                 d = _digest(s)
                 if len(s) and d not in number:
                     number[d] = len(sets)
                     sets.append(s)
                     held += len(s)
-                rows.append((0 if doc is None else doc, doc is not None, len(s), d))
+                rows.append((0 if doc is None else doc, doc is not None, len(s), d, text))
                 if held >= BLOCK_ENTRIES or len(rows) >= BLOCK_NODES:
                     yield flush()
         if rows:
             yield flush()
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("t")).mapInArrow(emit, "rng long, block long, tok binary, idx binary, cnt binary")
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("t"), F.xxhash64(F.col(text).cast("string"))).mapInArrow(emit, "rng long, block long, tok binary, idx binary, cnt binary")
 
 
 def _shared(sent: DataFrame, bits: int) -> DataFrame:
@@ -168,17 +167,17 @@ def _shared(sent: DataFrame, bits: int) -> DataFrame:
     return sent.groupBy("rng").applyInArrow(count, _SHARED)
 
 
-_NODES = "kind int, doc_id long, n long, digest long, rng int, tok binary, cnt binary, place binary, size binary, mid binary"
+_NODES = "kind int, doc_id long, n long, digest long, text_hash long, rng int, tok binary, cnt binary, place binary, size binary, mid binary"
 
 
 def _nodes(shared: DataFrame, t: tuple[int, int], ranges: int) -> DataFrame:
     """Rows of documents (kind 0), sets that may be linked with their shared shingles (kind 1), and prefixes by range (kind 2)."""
-    schema = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.int64()), ("rng", pa.int32())] + [(c, pa.binary()) for c in ("tok", "cnt", "place", "size", "mid")])
+    schema = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.int64()), ("text_hash", pa.int64()), ("rng", pa.int32())] + [(c, pa.binary()) for c in ("tok", "cnt", "place", "size", "mid")])
 
     def join(g: pa.Table) -> pa.Table:
         info = g.filter(pa.array(g["kind"].to_numpy() == 0))
         rest = g.filter(pa.array(g["kind"].to_numpy() == 1))
-        about = np.frombuffer(info["tok"][0].as_buffer(), np.int64).reshape(-1, 4)
+        about = np.frombuffer(info["tok"][0].as_buffer(), np.int64).reshape(-1, 5)
         digests = np.frombuffer(info["cnt"][0].as_buffer(), np.int64)
         first = dict(zip(about[:, 3].tolist(), about[:, 2].tolist(), strict=True))
         n = np.array([first[d] for d in digests.tolist()], np.int64)
@@ -197,8 +196,8 @@ def _nodes(shared: DataFrame, t: tuple[int, int], ranges: int) -> DataFrame:
             for name, col in zip(schema.names, cols, strict=True):
                 col.append(values.get(name))
 
-        for doc, known, size, d in about.tolist():
-            add(kind=0, doc_id=doc if known else None, n=size, digest=d)
+        for doc, known, size, d, text in about.tolist():
+            add(kind=0, doc_id=doc if known else None, n=size, digest=d, text_hash=text)
         for i in np.flatnonzero(open_).tolist():
             add(kind=1, n=int(n[i]), digest=int(digests[i]), tok=np.sort(tok[start[i] : start[i + 1]]).tobytes())
         tok, idx, place = tok[inside], idx[inside], place[inside]
@@ -359,7 +358,7 @@ def _blocks(cells: DataFrame, first: DataFrame, label: DataFrame, sets: DataFram
     return both.groupBy("p", "i", "j").applyInArrow(join, "x long, p long")
 
 
-def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: tuple[int, int] = (75, 100)) -> DataFrame:
+def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: tuple[int, int] = (75, 100), text_hash: bool = False) -> DataFrame:
     """Components of documents under links of Jaccard similarity at or over the threshold.
 
     Returns ``(doc_id, n_shingles, component_id)`` for every input row;
@@ -368,7 +367,8 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     linked. Repeated rows give repeated results; rows whose doc_id is null
     take part and have the smallest known id of their component. An empty
     table gives no rows. Other columns of ``docs`` are ignored, whatever
-    their names.
+    their names. ``text_hash`` adds a hash of the text, which tells rows of
+    one id apart.
     """
     size = docs.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
     bits = max(3, int(size // WORD_BYTES // RANGE_ENTRIES).bit_length())
@@ -380,12 +380,14 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     links = first.where("linked").select("x", "p")
     label = snapshot(connected_components(links, "x", "p"), "jj-label1")
 
-    more = snapshot(_blocks(cells, first, label, sets, threshold), "jj-round2")
-    if not more.isEmpty():
-        label = snapshot(connected_components(links.union(more), "x", "p"), "jj-label2")
+    joining = snapshot(_blocks(cells, first, label, sets, threshold), "jj-round2")
+    if not joining.isEmpty():
+        label = snapshot(connected_components(links.union(joining), "x", "p"), "jj-label2")
 
-    rows = made.where("kind = 0").select("doc_id", F.col("n").alias("n_shingles"), "digest")
-    some = rows.where("n_shingles > 0").join(label.withColumnRenamed("node", "digest"), "digest", "left").withColumn("c", F.coalesce("component", "digest")).select("doc_id", "n_shingles", "c")
+    more = ["text_hash"] if text_hash else []
+    rows = made.where("kind = 0").select("doc_id", F.col("n").alias("n_shingles"), "digest", *more)
+    some = rows.where("n_shingles > 0").join(label.withColumnRenamed("node", "digest"), "digest", "left").withColumn("c", F.coalesce("component", "digest"))
     least = some.groupBy("c").agg(F.min("doc_id").alias("component_id"))
-    none = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return some.join(least, "c").select("doc_id", "n_shingles", "component_id").unionByName(none)
+    none = rows.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
+    names = ["doc_id", "n_shingles", "component_id", *more]
+    return some.join(least, "c").select(*names).unionByName(none.select(*names))

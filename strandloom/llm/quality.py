@@ -96,13 +96,16 @@ def vote(z: np.ndarray, known: np.ndarray, y: np.ndarray, k: int = NEIGHBOURS) -
     return out
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
+def score_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", text_hash: bool = False) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of ``docs``.
 
     Null, empty and blank texts score the training rate of label 1, as does
     every text where the sample has one class or no rows (then a half).
     Repeated rows are scored each; a null doc_id is held out. Equal texts have
-    equal scores; ties among neighbours weigh the same.
+    equal scores; ties among neighbours weigh the same. An empty table gives
+    no rows; columns other than the two named are ignored, whatever their
+    names. ``text_hash`` adds a hash of the text, which tells rows of one id
+    apart.
     """
     sc = docs.sparkSession.sparkContext
     rows = with_label(docs, labels, label, doc_id, text)
@@ -139,7 +142,11 @@ def score_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", te
                     q[some] = vote(_unit((x[some] - mean) @ proj), known, y)
                 p.append(q)
             p = np.clip(np.concatenate(p) if p else np.zeros(0), 0, 1)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
+            more = [b.column(i) for i in range(3, b.num_columns)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(p), pa.array((p >= 0.5).astype(np.int32)), *more], ["doc_id", "held_out", "score", "predicted", "text_hash"][: 4 + len(more)])
 
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(fold(F.col(doc_id).cast("long"), FOLDS) == HELD_OUT, F.lit(True)).alias("held_out"), F.col(text).cast("string").alias("t"))
-    return d.mapInArrow(score, "doc_id long, held_out boolean, score double, predicted int")
+    out = "doc_id long, held_out boolean, score double, predicted int"
+    if text_hash:
+        d, out = d.withColumn("h", F.xxhash64("t")), out + ", text_hash long"
+    return d.mapInArrow(score, out)

@@ -259,7 +259,7 @@ def _sample(rows: DataFrame, bytes_most: int) -> int | None:
     return last
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", text_hash: bool = False) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of ``docs``.
 
     Null, empty and blank texts have the score of a text that says nothing.
@@ -267,7 +267,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
     is (a half without any). Repeated rows are scored each; a null doc_id is
     held out. Equal texts have equal scores, and ties no say. An empty table
     gives no rows. Scores use the text alone; columns other than the two named
-    are ignored, whatever their names.
+    are ignored, whatever their names. ``text_hash`` adds a hash of the text,
+    which tells rows of one id apart.
     """
     sc = docs.sparkSession.sparkContext
     rows = with_label(docs, labels, label, doc_id, text)
@@ -310,7 +311,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
         for b in batches:
             x = (features(b.column(2), ratios.value, (pick,)) - mean) / scale
             p = 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30)))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
+            more = [b.column(i) for i in range(3, b.num_columns)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(p), pa.array((p >= 0.5).astype(np.int32)), *more], ["doc_id", "held_out", "score", "predicted", "text_hash"][: 4 + len(more)])
 
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(fold(F.col(doc_id).cast("long"), FOLDS) == HELD_OUT, F.lit(True)).alias("held_out"), F.col(text).cast("string").alias("t"))
-    return d.mapInArrow(score, "doc_id long, held_out boolean, score double, predicted int")
+    out = "doc_id long, held_out boolean, score double, predicted int"
+    if text_hash:
+        d, out = d.withColumn("h", F.xxhash64("t")), out + ", text_hash long"
+    return d.mapInArrow(score, out)
