@@ -75,8 +75,11 @@ def term_vectors(texts: pa.Array) -> np.ndarray:
 def fit_latent(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(mean, projection) of the leading right singular vectors of the centred rows."""
     mean = x.mean(0)
-    z = (x - mean).astype(np.float64)
-    _, vectors = np.linalg.eigh(z.T @ z)
+    cov = np.zeros((x.shape[1], x.shape[1]))
+    for a in range(0, len(x), BLOCK):
+        z = (x[a : a + BLOCK] - mean).astype(np.float64)
+        cov += z.T @ z
+    _, vectors = np.linalg.eigh(cov)
     return mean, vectors[:, ::-1][:, : min(LATENT, x.shape[1])].astype(np.float32)
 
 

@@ -38,13 +38,13 @@ from strandloom.llm import textkit as tk
 from strandloom.llm.labels import fold, with_label
 
 #: Bounds of the sample of a class, and of calibration rows (three numbers for each discount).
-FIT_ROWS, FIT_BYTES, CALIBRATION_ROWS = 2048, 1 << 25, 20_000
+FIT_ROWS, FIT_BYTES, CALIBRATION_ROWS = 1024, 1 << 24, 20_000
 #: Of five folds by crc32: 0 is held out, 1 calibrates, 2-4 are counted.
 FOLDS, HELD_OUT, CALIBRATION = 5, 0, 1
 #: Discounts of the continuation level that are tried, and how many best words of a text are taken together.
 DISCOUNTS, BEST = (0.75, 2.0, 3.5, 5.0), 3
 #: Words a task counts at a time, and words aimed at in a hash range (``WORD_BYTES`` of text each).
-COUNT_AT_ONCE, RANGE_WORDS, WORD_BYTES = 1 << 20, 1 << 21, 6
+COUNT_AT_ONCE, RANGE_WORDS, WORD_BYTES = 1 << 19, 1 << 20, 6
 #: The hash that stands before the first word of a text.
 BEGIN = np.uint64(0)
 
@@ -65,6 +65,7 @@ def class_counts(rows: DataFrame) -> tuple[np.ndarray, ...]:
     def merge(u: np.ndarray, v: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         order = np.lexsort((v, u))
         u, v, c = u[order], v[order], c[order]
+        del order
         at = np.flatnonzero(np.concatenate([[True], (u[1:] != u[:-1]) | (v[1:] != v[:-1])])) if len(u) else np.zeros(0, np.int64)
         return u[at], v[at], np.add.reduceat(c, at, axis=0).astype(np.uint32) if len(at) else c
 
@@ -286,6 +287,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
     if len(vocabulary):
         follows = continuations(t, vocabulary, often, t.agg(F.sum(F.octet_length("t"))).first()[0] or 0)
     ratios = sc.broadcast(fit_ratios(u, v, toxic, ordinary, vocabulary, follows))
+    del u, v, toxic, ordinary, follows
     every = tuple(range(len(DISCOUNTS)))
     names = [f"x{i}" for i in range(1 + 2 * len(every))]
 
