@@ -1,11 +1,11 @@
-"""Sequence functions as column expressions: no Python on the executors."""
+"""Sequence functions as column expressions: built-in ones, and table lookups over Arrow columns where a codon or word is looked up."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from strandloom.functions.codons import LETTERS, residues_by_base4, residues_by_base16, start_codons
+from strandloom.functions import kernels
 
 #: Complements of bases and ambiguity letters, in both cases.
 COMPLEMENT = ("ACGTUMRWSYKVHDBXNacgtumrwsykvhdbxn", "TGCAAKYWSRMBDHVXNtgcaakywsrmbdhvxn")
@@ -31,29 +31,14 @@ def codons(dna: Column) -> Column:
     return F.regexp_extract_all(dna, F.lit("(?s)(.{3})"), F.lit(1))
 
 
-def _residue(codon: Column, code: int) -> Column:
-    digits = F.translate(F.upper(codon), "ACGT", "0123")
-    known = digits.rlike("^[0-3]{3}$")
-    return F.when(known, F.substring(F.lit(residues_by_base4(code)), F.conv(F.when(known, digits), 4, 10).cast("int") + 1, F.lit(1))).otherwise(F.lit("X"))
-
-
 def translate_codons(dna: Column, code: int = 11) -> Column:
     """Residues by a genetic code: X for other letters than ACGT, M for a start codon at the start; an error unless the length is a multiple of three."""
-    raw = F.array_join(F.transform(codons(dna), lambda c: _residue(c, code)), "")
-    whole = F.when(F.substring(dna, 1, 3).isin(start_codons(code)), F.concat(F.lit("M"), F.substring(raw, F.lit(2), F.length(raw)))).otherwise(raw)
-    return F.when(F.length(dna) % 3 == 0, whole).otherwise(F.when(dna.isNotNull(), F.raise_error(F.lit("length is not a multiple of three"))))
+    return kernels.translate(dna, code)
 
 
 def translate_standard(dna: Column) -> Column:
     """Residues by code 1, ambiguity letters resolved where all readings agree, X elsewhere; no change of the first residue, a part codon dropped."""
-    clean = F.replace(F.upper(dna), F.lit("U"), F.lit("T"))
-
-    def residue(codon: Column) -> Column:
-        known = codon.rlike(f"^[{LETTERS}]{{3}}$")
-        place = F.conv(F.translate(F.when(known, codon), LETTERS, "0123456789ABCDEF"), 16, 10).cast("int")
-        return F.when(known, F.substring(F.lit(residues_by_base16(1)), place + 1, F.lit(1))).otherwise(F.lit("X"))
-
-    return F.array_join(F.transform(codons(clean), residue), "")
+    return kernels.translate_standard(dna)
 
 
 def strip_stop(protein: Column) -> Column:
@@ -98,9 +83,7 @@ def padded_frame(dna: Column, frame: int) -> Column:
 
 def best_frame(dna: Column, protein: Column) -> Column:
     """The translation of six (frames 0-2, each strand in turn) that shares most distinct 3-mers with a protein; the first of equals."""
-    frames = F.array(*(padded_frame(s, f) for f in range(3) for s in (dna, reverse_complement(dna))))
-    scored = F.transform(frames, lambda p, i: F.struct(shared_kmers(p, protein).alias("n"), (-i).alias("i"), p.alias("p")))
-    return F.array_max(scored)["p"]
+    return kernels.nearest_frame(dna, protein)
 
 
 def codon_failures(dna: Column, protein: Column, code: int = 11) -> Column:
@@ -116,10 +99,7 @@ def codon_failures(dna: Column, protein: Column, code: int = 11) -> Column:
 
 def back_translate(aligned_protein: Column, dna: Column) -> Column:
     """Three bases for each residue, three dashes for each gap."""
-    at = places(F.length(aligned_protein))
-    ch = lambda i: F.substring(aligned_protein, i, F.lit(1))
-    before = lambda i: i - 1 - (F.length(F.substring(aligned_protein, F.lit(1), i - 1)) - F.length(F.replace(F.substring(aligned_protein, F.lit(1), i - 1), F.lit("-"), F.lit(""))))
-    return F.array_join(F.transform(at, lambda i: F.when(ch(i) == "-", F.lit("---")).otherwise(F.substring(dna, before(i) * 3 + 1, F.lit(3)))), "")
+    return kernels.gapped(aligned_protein, dna)
 
 
 def mask_leading_run(db: Column, run: int = 20) -> Column:

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandloom.functions import kernels
+
+#: Counts that a task holds at a time (8 bytes each).
+COUNT_CELLS = 1 << 22
 
 
 def checked(aligned: DataFrame, gene: str, seq: str) -> DataFrame:
@@ -15,10 +21,45 @@ def checked(aligned: DataFrame, gene: str, seq: str) -> DataFrame:
 
 
 def column_counts(aligned: DataFrame, gene: str, seq: str) -> DataFrame:
-    """Per gene and place (from 0), how many sequences have a, c, g, t (either case) or another letter."""
-    chars = aligned.select(gene, F.posexplode(F.split(F.lower(seq), "")).alias("pos", "base")).where("base <> ''")
-    one = lambda b: F.count(F.when(F.col("base") == b, 1)).alias(f"n_{b}")
-    return chars.groupBy(gene, "pos").agg(*map(one, "acgt"), F.count(F.when(~F.col("base").isin(*"acgt"), 1)).alias("n_other"))
+    """Per gene and place (from 0), how many sequences have a, c, g, t (either case) or another letter.
+
+    A task counts in arrays, at most ``COUNT_CELLS`` numbers at a time, so a
+    place is a row of the shuffle once for each task, not for each letter.
+    """
+    names = ["n_a", "n_c", "n_g", "n_t", "n_other"]
+    kind = aligned.schema[gene].dataType.simpleString()
+
+    def count(batches):
+        code = np.full(256, 4, np.int64)
+        for i, c in enumerate("acgt"):
+            code[ord(c)] = code[ord(c.upper())] = i
+        held: dict[object, np.ndarray] = {}
+
+        def rows():
+            for g, cells in held.items():
+                place = np.flatnonzero(cells.any(1))
+                yield pa.RecordBatch.from_arrays([pa.array([g] * len(place), gene_type), pa.array(place.astype(np.int32)), *(pa.array(cells[place, k]) for k in range(5))], ["gene", "pos", *names])
+            held.clear()
+
+        gene_type = None
+        for b in batches:
+            gene_type = b.column(0).type
+            data, off = kernels._bytes(b.column(1))
+            for g, lo, hi in zip(b.column(0).to_pylist(), off[:-1].tolist(), off[1:].tolist(), strict=True):
+                have = held.get(g)
+                if have is None or len(have) < hi - lo:
+                    held[g] = np.zeros((hi - lo, 5), np.int64)
+                    if have is not None:
+                        held[g][: len(have)] = have
+                held[g][np.arange(hi - lo), code[data[lo:hi]]] += 1
+                if sum(x.size for x in held.values()) > COUNT_CELLS:
+                    yield from rows()
+        if held:
+            yield from rows()
+
+    schema = f"gene {kind}, pos int, " + ", ".join(f"{n} long" for n in names)
+    made = aligned.select(F.col(gene).alias("gene"), F.col(seq).cast("string").alias("seq")).where("seq is not null").mapInArrow(count, schema)
+    return made.groupBy(F.col("gene").alias(gene), "pos").agg(*(F.sum(n).alias(n) for n in names))
 
 
 def weighted_entropy(counts: DataFrame, gene: str) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandloom.functions import codons
@@ -360,10 +360,10 @@ def structural_variants(spark, d):
     return R.edge_pairs(two, 2)
 
 
-@query("gap_filled_concat", "WITH iso AS (SELECT DISTINCT n_nationkey AS i FROM nation), g AS (SELECT p_partkey AS gene, CAST(1 + p_size % 7 AS BIGINT) AS len FROM part WHERE p_size = 1), a AS (SELECT DISTINCT s_nationkey AS i, l_partkey AS gene FROM lineitem JOIN supplier ON s_suppkey = l_suppkey) SELECT i, string_agg(CASE WHEN a.gene IS NULL THEN repeat('-', CAST(len AS INT)) ELSE repeat('A', CAST(len AS INT)) END, '' ORDER BY g.gene) AS seq FROM iso CROSS JOIN g LEFT JOIN a USING (i, gene) GROUP BY i")
+@query("gap_filled_concat", "WITH iso AS (SELECT DISTINCT n_nationkey AS i FROM nation), g AS (SELECT p_partkey AS gene, CAST(1 + p_size % 7 AS BIGINT) AS len FROM part), a AS (SELECT DISTINCT s_nationkey AS i, l_partkey AS gene FROM lineitem JOIN supplier ON s_suppkey = l_suppkey) SELECT i, string_agg(CASE WHEN a.gene IS NULL THEN repeat('-', CAST(len AS INT)) ELSE repeat('A', CAST(len AS INT)) END, '' ORDER BY g.gene) AS seq FROM iso CROSS JOIN g LEFT JOIN a USING (i, gene) GROUP BY i")
 def gap_filled_concat(spark, d):
     iso = table(spark, d, "nation").select(F.col("n_nationkey").alias("i"))
-    g = table(spark, d, "part").where("p_size = 1").select(F.col("p_partkey").alias("gene"), (1 + F.col("p_size") % 7).cast("long").alias("len"))
+    g = table(spark, d, "part").select(F.col("p_partkey").alias("gene"), (1 + F.col("p_size") % 7).cast("long").alias("len"))
     s = table(spark, d, "supplier").select("s_suppkey", F.col("s_nationkey").alias("i"))
     have = table(spark, d, "lineitem").select("l_suppkey", F.col("l_partkey").alias("gene")).join(s, F.col("l_suppkey") == F.col("s_suppkey")).select("i", "gene").distinct()
     have = have.join(g, "gene").select("i", "gene", F.repeat(F.lit("A"), F.col("len").cast("int")).alias("seq"))
@@ -413,53 +413,51 @@ def shared_members(spark, d):
     return T.shared_pairs(genes(spark, d), "node", "genome", p, "u", "v")
 
 
-# ---- graphs: customers and suppliers are joined by nation buckets into a graph of several components
+# ---- graphs: events of a user are linked in the order of time, so every user is a chain
 
-_LINKS = "links AS (SELECT DISTINCT 'p' || CAST(l_partkey AS VARCHAR) AS src, 's' || CAST(l_suppkey AS VARCHAR) AS dst FROM lineitem WHERE l_quantity = 50 AND l_linenumber = 7)"
+_LINKS = """pl AS (SELECT user_id, CAST(event_id AS VARCHAR) AS node, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p, count(*) OVER (PARTITION BY user_id) AS k FROM events),
+links AS (SELECT x.node AS src, y.node AS dst FROM pl x JOIN pl y ON x.user_id = y.user_id AND y.p = x.p + 1)"""
 
 
 def links(spark, d):
-    li = table(spark, d, "lineitem").where("l_quantity = 50 and l_linenumber = 7")
-    return li.select(F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("src"), F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("dst")).distinct()
+    e = table(spark, d, "events").select("user_id", F.col("event_id").cast("string").alias("src"), F.lead("event_id").over(Window.partitionBy("user_id").orderBy("ts", "event_id")).cast("string").alias("dst"))
+    return e.where("dst is not null").select("src", "dst")
 
 
-_WALK = "two AS (SELECT src AS a, dst AS b FROM links UNION SELECT dst, src FROM links), r AS (SELECT a, a AS b FROM two UNION SELECT r.a, two.b FROM r JOIN two ON two.a = r.b)"
-
-
-@query("components", f"WITH RECURSIVE {_LINKS}, {_WALK} SELECT a AS node, min(b) AS component FROM r GROUP BY a")
+@query("components", f"WITH {_LINKS} SELECT node, min(node) OVER (PARTITION BY user_id) AS component FROM pl WHERE k > 1")
 def components(spark, d):
     c = G.connected_components(links(spark, d))
     return c.join(c.groupBy("component").agg(F.min("node").alias("m")), "component").select("node", F.col("m").alias("component"))
 
 
-@query("component_order", f"WITH RECURSIVE {_LINKS}, {_WALK}, c AS (SELECT a AS node, min(b) AS component FROM r GROUP BY a) SELECT node, CAST(dense_rank() OVER (ORDER BY component) AS BIGINT) AS fragment, CAST(row_number() OVER (PARTITION BY component ORDER BY node) AS BIGINT) AS place FROM c")
+@query("component_order", f"WITH {_LINKS}, c AS (SELECT node, min(node) OVER (PARTITION BY user_id) AS component FROM pl WHERE k > 1) SELECT node, CAST(dense_rank() OVER (ORDER BY component) AS BIGINT) AS fragment, CAST(row_number() OVER (PARTITION BY component ORDER BY node) AS BIGINT) AS place FROM c")
 def component_order(spark, d):
     e = links(spark, d)
     n = e.select(F.col("src").alias("node")).union(e.select("dst")).distinct().withColumn("ord", F.col("node"))
     return G.component_numbers(e, n, "node", "ord").select("node", "fragment", "place")
 
 
-@query("k_hop", f"WITH {_LINKS}, two AS (SELECT src AS a, dst AS b FROM links UNION SELECT dst, src FROM links), s AS (SELECT DISTINCT src AS n FROM links WHERE src LIKE 'p1%'), h AS (SELECT n AS seed, n AS node, 0 AS depth FROM s UNION ALL SELECT n, b, 1 FROM s JOIN two ON a = n UNION ALL SELECT n, y.b, 2 FROM s JOIN two x ON x.a = n JOIN two y ON y.a = x.b UNION ALL SELECT n, z.b, 3 FROM s JOIN two x ON x.a = n JOIN two y ON y.a = x.b JOIN two z ON z.a = y.b) SELECT seed, node, CAST(min(depth) AS INTEGER) AS depth FROM h GROUP BY 1, 2")
+@query("k_hop", f"WITH {_LINKS} SELECT x.node AS seed, y.node, CAST(abs(x.p - y.p) AS INTEGER) AS depth FROM pl x JOIN pl y ON x.user_id = y.user_id AND abs(x.p - y.p) <= 3 WHERE x.k > 1")
 def k_hop(spark, d):
     e = links(spark, d)
-    return G.k_hop(e, e.where("src like 'p1%'").select(F.col("src").alias("node")).distinct(), 3)
+    return G.k_hop(e, e.select(F.col("src").alias("node")).union(e.select("dst")).distinct(), 3)
 
 
-@query("shortest_path", f"WITH {_LINKS}, two AS (SELECT src AS a, dst AS b FROM links UNION SELECT dst, src FROM links), s AS (SELECT DISTINCT l.src AS a, m.src AS b FROM links l JOIN links m ON l.src < m.src AND l.src LIKE 'p10%' AND m.src LIKE 'p11%'), h AS (SELECT s.a, s.b, 2 AS steps FROM s JOIN two x ON x.a = s.a JOIN two y ON y.a = x.b AND y.b = s.b UNION ALL SELECT s.a, s.b, 4 FROM s JOIN two x ON x.a = s.a JOIN two y ON y.a = x.b JOIN two z ON z.a = y.b JOIN two w ON w.a = z.b AND w.b = s.b) SELECT s.a, s.b, CAST(min(steps) AS INTEGER) AS steps FROM s LEFT JOIN h USING (a, b) GROUP BY s.a, s.b")
+@query("shortest_path", f"WITH {_LINKS} SELECT x.node AS a, y.node AS b, CAST(CASE WHEN y.p - x.p <= 4 THEN y.p - x.p END AS INTEGER) AS steps FROM pl x JOIN pl y ON x.user_id = y.user_id AND y.p - x.p BETWEEN 1 AND 6")
 def shortest_path(spark, d):
-    e = links(spark, d)
-    a = e.where("src like 'p10%'").select(F.col("src").alias("a")).distinct()
-    b = e.where("src like 'p11%'").select(F.col("src").alias("b")).distinct()
-    return G.shortest_paths(e, a.join(b, F.col("a") < F.col("b")), 4).select("a", "b", "steps")
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    later = F.array(*(F.lead("event_id", i).over(w).cast("string") for i in range(1, 7)))
+    pairs = table(spark, d, "events").select(F.col("event_id").cast("string").alias("a"), later.alias("later")).select("a", F.explode("later").alias("b")).where("b is not null")
+    return G.shortest_paths(links(spark, d), pairs, 4).select("a", "b", "steps")
 
 
 _EDGES = ADJ + """, ed AS (SELECT u, v, count(*) AS size FROM em WHERE u <> v GROUP BY 1, 2), nd AS (SELECT node, count(DISTINCT genome) AS size FROM genes GROUP BY 1)"""
 
 
-@query("trim_tips", f"WITH {_LINKS}, n0 AS (SELECT src AS node, 1 AS size FROM links UNION SELECT dst, 3 FROM links), " + ", ".join(f"d{i} AS (SELECT node FROM n{i} LEFT JOIN (SELECT x, count(*) AS k FROM (SELECT unnest([src, dst]) AS x FROM links WHERE src IN (SELECT node FROM n{i}) AND dst IN (SELECT node FROM n{i})) GROUP BY x) ON x = node WHERE coalesce(k, 0) <= 1 AND size < 4), n{i + 1} AS (SELECT * FROM n{i} WHERE node NOT IN (SELECT node FROM d{i}))" for i in range(3)) + " SELECT node, CAST(size AS INTEGER) AS size FROM n3")
+@query("trim_tips", f"WITH {_LINKS}, n0 AS (SELECT node, CAST(node AS BIGINT) % 7 AS size FROM pl WHERE k > 1), " + ", ".join(f"d{i} AS (SELECT node FROM n{i} LEFT JOIN (SELECT x, count(*) AS k FROM (SELECT unnest([src, dst]) AS x FROM links WHERE src IN (SELECT node FROM n{i}) AND dst IN (SELECT node FROM n{i})) GROUP BY x) ON x = node WHERE coalesce(k, 0) <= 1 AND size < 4), n{i + 1} AS (SELECT * FROM n{i} WHERE node NOT IN (SELECT node FROM d{i}))" for i in range(3)) + " SELECT node, CAST(size AS INTEGER) AS size FROM n3")
 def trim_tips(spark, d):
     e = links(spark, d)
-    n = e.select(F.col("src").alias("node"), F.lit(1).alias("size")).union(e.select("dst", F.lit(3))).distinct()
+    n = e.select(F.col("src").alias("node")).union(e.select("dst")).distinct().withColumn("size", (F.col("node").cast("long") % 7).cast("int"))
     return G.trim_tips(n, e, "node", "size", 4, 3)[0].select("node", "size")
 
 
@@ -575,7 +573,7 @@ def _padded(seq: str, frame: int) -> str:
 @query("best_frame", None)
 def best_frame(spark, d):
     """Six frames against a protein made from the second frame of the other strand; tested against a plain model."""
-    w = dna(spark, d).where(F.length("seq") > 8)
+    w = dna(spark, d)
     # the protein is a column of its own, so that it is made once
     return w.withColumn("target", S.padded_frame(S.reverse_complement(F.col("seq")), 1)).select("doc_id", S.best_frame(F.col("seq"), F.col("target")).alias("protein"))
 
@@ -587,9 +585,9 @@ def codon_qc(spark, d):
     return w.select("doc_id", F.array_join(S.codon_failures(F.col("seq"), F.col("p")).cast("array<string>"), ",").alias("failures"))
 
 
-@query("back_translate", f"WITH {DNA}, w AS (SELECT doc_id, substr(seq, 1, 90) AS seq FROM dna), x AS (SELECT doc_id, seq, regexp_replace({_prot('seq', False)}, '([LR])', '-\\1', 'g') AS p FROM w) SELECT doc_id, array_to_string(list_transform(range(1, length(p) + 1), lambda i: CASE WHEN substr(p, i, 1) = '-' THEN '---' ELSE substr(seq, CAST(length(replace(substr(p, 1, i - 1), '-', '')) * 3 + 1 AS BIGINT), 3) END), '') AS aligned FROM x".replace("range(1, length(p) + 1)", "range(1, length(p) + 1)"))
+@query("back_translate", f"WITH {DNA}, x AS (SELECT doc_id, seq, regexp_replace({_prot('seq', False)}, '([LR])', '-\\1', 'g') AS p FROM dna), c AS (SELECT doc_id, seq, unnest(string_split(p, '')) AS r, unnest(range(0, length(p))) AS i FROM x WHERE p <> ''), n AS (SELECT *, sum(CASE WHEN r = '-' THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM c), y AS (SELECT doc_id, string_agg(CASE WHEN r = '-' THEN '---' ELSE substr(seq, CAST(k * 3 - 2 AS BIGINT), 3) END, '' ORDER BY i) AS aligned FROM n GROUP BY doc_id) SELECT doc_id, coalesce(aligned, '') AS aligned FROM dna LEFT JOIN y USING (doc_id)")
 def back_translate(spark, d):
-    w = dna(spark, d).withColumn("seq", F.substring("seq", 1, 90)).withColumn("p", F.regexp_replace(S.translate_standard(F.col("seq")), "([LR])", "-$1"))
+    w = dna(spark, d).withColumn("p", F.regexp_replace(S.translate_standard(F.col("seq")), "([LR])", "-$1"))
     return w.select("doc_id", S.back_translate(F.col("p"), F.col("seq")).alias("aligned"))
 
 
@@ -633,10 +631,17 @@ def floor_math(spark, d):
 
 
 def aligned(spark, d):
-    return dna(spark, d).join(table(spark, d, "documents").select("doc_id", F.col("source").alias("gene")), "doc_id").where(F.length("seq") >= 60).select("gene", "doc_id", F.translate(F.substring("seq", 1, 60), "G", "-").alias("seq"))
+    """Whole texts as rows of an alignment: those of a source are padded with gaps to the longest."""
+    a = dna(spark, d).join(table(spark, d, "documents").select("doc_id", F.col("source").alias("gene")), "doc_id")
+    longest = a.groupBy("gene").agg(F.max(F.length("seq")).alias("len"))
+    return a.join(F.broadcast(longest), "gene").select("gene", "doc_id", F.rpad(F.translate("seq", "G", "-"), F.col("len"), "-").alias("seq"))
 
 
-_ALIGNED = DNA + ", al AS (SELECT source AS gene, dna.doc_id, translate(substr(seq, 1, 60), 'G', '-') AS seq FROM dna JOIN documents USING (doc_id) WHERE length(seq) >= 60), ch AS (SELECT gene, p - 1 AS pos, lower(substr(seq, p, 1)) AS b FROM al, (SELECT unnest(range(1, 61)) AS p)), cc AS (SELECT gene, pos, count(*) FILTER (b = 'a') AS n_a, count(*) FILTER (b = 'c') AS n_c, count(*) FILTER (b = 'g') AS n_g, count(*) FILTER (b = 't') AS n_t, count(*) FILTER (b NOT IN ('a', 'c', 'g', 't')) AS n_other, count(*) AS n FROM ch GROUP BY 1, 2)"
+_ALIGNED = DNA + """, al AS (SELECT source AS gene, dna.doc_id, translate(seq, 'G', '-') AS raw, max(length(seq)) OVER (PARTITION BY source) AS len FROM dna JOIN documents USING (doc_id)),
+gn AS (SELECT gene, count(*) AS n FROM al GROUP BY 1), ch AS (SELECT gene, unnest(string_split(raw, '')) AS b, unnest(range(0, length(raw))) AS pos FROM al WHERE raw <> ''),
+cn AS (SELECT gene, pos, count(*) FILTER (b = 'A') AS n_a, count(*) FILTER (b = 'C') AS n_c, count(*) FILTER (b = 'G') AS n_g, count(*) FILTER (b = 'T') AS n_t FROM ch GROUP BY 1, 2),
+cc AS (SELECT *, n - n_a - n_c - n_g - n_t AS n_other FROM cn JOIN gn USING (gene)),
+gaps AS (SELECT gene, doc_id, doc_id % 3 AS genome, len, rpad(raw, CAST(len AS INTEGER), '-') AS seq, len - length(replace(raw, '-', '')) AS gaps FROM al)"""
 _H = " + ".join(f"CASE WHEN n_{b} > 0 THEN -(CAST(n_{b} AS DOUBLE) / n) * ln(CAST(n_{b} AS DOUBLE) / n) ELSE 0 END" for b in "acgt")
 _ENTROPY = _ALIGNED + f", en AS (SELECT gene, sum((1 - CAST(n_other AS DOUBLE) / n) * ({_H})) / sum(1 - CAST(n_other AS DOUBLE) / n) AS entropy FROM cc GROUP BY gene)"
 
@@ -657,20 +662,20 @@ def entropy_threshold(spark, d):
     return t.select(*(F.round(c, 7).alias(c) for c in t.columns))
 
 
-@query("least_gapped", f"WITH {_ALIGNED} SELECT gene, genome, doc_id FROM (SELECT gene, doc_id % 3 AS genome, doc_id, row_number() OVER (PARTITION BY gene, doc_id % 3 ORDER BY length(seq) - length(replace(seq, '-', '')), doc_id) AS r FROM al) WHERE r = 1")
+@query("least_gapped", f"WITH {_ALIGNED} SELECT gene, genome, doc_id FROM (SELECT gene, doc_id % 3 AS genome, doc_id, row_number() OVER (PARTITION BY gene, doc_id % 3 ORDER BY gaps, doc_id) AS r FROM gaps) WHERE r = 1")
 def least_gapped(spark, d):
     return A.least_gapped(aligned(spark, d).withColumn("genome", F.col("doc_id") % 3), "gene", "genome", "seq", "doc_id").select("gene", "genome", "doc_id")
 
 
-@query("equal_lengths", f"WITH {_ALIGNED} SELECT gene, count(*) AS n, count(DISTINCT length(seq)) AS lengths FROM al GROUP BY gene")
+@query("equal_lengths", f"WITH {_ALIGNED} SELECT gene, count(*) AS n, count(DISTINCT length(seq)) AS lengths FROM gaps GROUP BY gene")
 def equal_lengths(spark, d):
     return A.checked(aligned(spark, d), "gene", "seq").groupBy("gene").agg(F.count("*").alias("n"), F.countDistinct(F.length("seq")).alias("lengths"))
 
 
-@query("core_concat", f"WITH {_ALIGNED}, m AS (SELECT gene, doc_id % 3 AS genome, seq, row_number() OVER (PARTITION BY gene, doc_id % 3 ORDER BY length(seq) - length(replace(seq, '-', '')), doc_id) AS r FROM al), g AS (SELECT DISTINCT gene FROM al), i AS (SELECT unnest([0, 1, 2]) AS genome) SELECT CAST(i.genome AS BIGINT) AS genome, string_agg(coalesce(m.seq, repeat('-', 60)), '' ORDER BY g.gene) AS seq FROM i CROSS JOIN g LEFT JOIN m ON m.gene = g.gene AND m.genome = i.genome AND r = 1 GROUP BY i.genome")
+@query("core_concat", f"WITH {_ALIGNED}, m AS (SELECT gene, genome, seq FROM (SELECT *, row_number() OVER (PARTITION BY gene, genome ORDER BY gaps, doc_id) AS r FROM gaps) WHERE r = 1), g AS (SELECT gene, max(len) AS len FROM al GROUP BY 1), i AS (SELECT unnest([0, 1, 2]) AS genome) SELECT CAST(i.genome AS BIGINT) AS genome, string_agg(coalesce(m.seq, repeat('-', CAST(g.len AS INTEGER))), '' ORDER BY g.gene) AS seq FROM i CROSS JOIN g LEFT JOIN m ON m.gene = g.gene AND m.genome = i.genome GROUP BY i.genome")
 def core_concat(spark, d):
     best = A.least_gapped(aligned(spark, d).withColumn("genome", F.col("doc_id") % 3), "gene", "genome", "seq", "doc_id")
-    g = best.select("gene").distinct().withColumn("length", F.lit(60))
+    g = best.groupBy("gene").agg(F.max(F.length("seq")).alias("length"))
     return A.concatenated(R.gap_filled(spark.range(3).toDF("genome"), g, best, "genome", "gene", "seq", "length"), "genome", "seq", "gene")
 
 
@@ -710,24 +715,20 @@ def file_stem(spark, d):
 # ---- similarity (tested against plain models)
 
 
-def short_dna(spark, d):
-    return dna(spark, d).where(F.length("seq").between(60, 400)).select("doc_id", "seq")
-
-
 @query("similar_pairs", None)
 def similar_pairs(spark, d):
-    rows = dna(spark, d).join(table(spark, d, "documents").select("doc_id", "source"), "doc_id").where(F.length("seq").between(60, 600))
-    return C.similar_pairs(rows, ["source"], "doc_id", "seq", 0.6, True).select("a", "b", F.round("identity", 6).alias("identity"))
+    rows = dna(spark, d).join(table(spark, d, "documents").select("doc_id", "source"), "doc_id")
+    return C.similar_pairs(rows, ["source"], "doc_id", "seq", 0.98, True).select("a", "b", F.round("identity", 6).alias("identity"))
 
 
 @query("greedy_clusters", None)
 def greedy_clusters(spark, d):
-    return C.greedy_clusters(short_dna(spark, d), "doc_id", "seq", 0.9, True, 7)
+    return C.greedy_clusters(dna(spark, d), "doc_id", "seq", 0.98, True, 7, 0.98)
 
 
 @query("iterative_clusters", None)
 def iterative_clusters(spark, d):
-    return C.iterative_clusters(short_dna(spark, d), "doc_id", "seq", True)
+    return C.iterative_clusters(dna(spark, d), "doc_id", "seq", True, len_dif=0.98)
 
 
 def family_nodes(spark, d):
