@@ -69,11 +69,15 @@ def number_text(x: Column) -> Column:
 
 
 def floor_div(a: Column, b: Column) -> Column:
-    return F.floor(a / b).cast("long")
+    """Integer quotient towards minus infinity, exact for all longs; null where b is 0."""
+    x, y = a.cast("long"), F.nullif(b.cast("long"), F.lit(0).cast("long"))
+    return F.when(y.isNotNull(), F.call_function("div", x, y) - F.when((x % y != 0) & ((x < 0) != (y < 0)), F.lit(1)).otherwise(F.lit(0))).cast("long")
 
 
 def floor_mod(a: Column, b: Column) -> Column:
-    return (a - floor_div(a, b) * b).cast("long")
+    """What ``floor_div`` leaves; of b's sign."""
+    y = F.nullif(b.cast("long"), F.lit(0).cast("long"))
+    return (a.cast("long") % y + F.when((a.cast("long") % y != 0) & ((a.cast("long") < 0) != (y < 0)), y).otherwise(F.lit(0))).cast("long")
 
 
 def utc_now_text() -> Column:

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from strandloom.functions import kernels
 
-#: Counts that a task holds at a time (8 bytes each).
-COUNT_CELLS = 1 << 22
+#: Counts that a task holds at a time (4 bytes each).
+COUNT_CELLS = 1 << 23
 
 
 def checked(aligned: DataFrame, gene: str, seq: str) -> DataFrame:
@@ -30,30 +30,36 @@ def column_counts(aligned: DataFrame, gene: str, seq: str) -> DataFrame:
     kind = aligned.schema[gene].dataType.simpleString()
 
     def count(batches):
-        code = np.full(256, 4, np.int64)
+        code = np.full(256, 4, np.uint8)
         for i, c in enumerate("acgt"):
             code[ord(c)] = code[ord(c.upper())] = i
         held: dict[object, np.ndarray] = {}
 
         def rows():
             for g, cells in held.items():
-                place = np.flatnonzero(cells.any(1))
-                yield pa.RecordBatch.from_arrays([pa.array([g] * len(place), gene_type), pa.array(place.astype(np.int32)), *(pa.array(cells[place, k]) for k in range(5))], ["gene", "pos", *names])
+                place = np.flatnonzero(cells.any(0))
+                yield pa.RecordBatch.from_arrays([pa.array([g] * len(place), gene_type), pa.array(place.astype(np.int32)), *(pa.array(cells[k, place].astype(np.int64)) for k in range(5))], ["gene", "pos", *names])
             held.clear()
 
-        gene_type = None
+        gene_type, size = None, 0
         for b in batches:
             gene_type = b.column(0).type
             data, off = kernels._bytes(b.column(1))
             for g, lo, hi in zip(b.column(0).to_pylist(), off[:-1].tolist(), off[1:].tolist(), strict=True):
                 have = held.get(g)
-                if have is None or len(have) < hi - lo:
-                    held[g] = np.zeros((hi - lo, 5), np.int64)
+                if have is None or have.shape[1] < hi - lo:
                     if have is not None:
-                        held[g][: len(have)] = have
-                held[g][np.arange(hi - lo), code[data[lo:hi]]] += 1
-                if sum(x.size for x in held.values()) > COUNT_CELLS:
+                        size -= have.size
+                    held[g] = np.zeros((5, hi - lo), np.int32)
+                    size += held[g].size
+                    if have is not None:
+                        held[g][:, : have.shape[1]] = have
+                letters = code[data[lo:hi]]
+                for k in range(5):
+                    held[g][k, : hi - lo] += letters == k
+                if size > COUNT_CELLS:
                     yield from rows()
+                    size = 0
         if held:
             yield from rows()
 

@@ -30,12 +30,17 @@ class Options:
     core_subset: int | None = None
     entropy_filter: float | None = None
     code: int = 11
+    codons: bool = False
 
     def for_genomes(self, n: int) -> Options:
         """With the mode's defaults for what isn't set; n is the number of genomes, also where a list names them."""
         one, five = max(2, math.ceil(0.01 * n)), max(2, math.ceil(0.05 * n))
         if self.mode not in ("strict", "moderate", "sensitive"):
             raise ValueError(f"no mode {self.mode}")
+        if self.refind not in ("default", "strict", "off"):
+            raise ValueError(f"no way {self.refind} of refinding")
+        if self.alignment not in (None, "core", "pan"):
+            raise ValueError(f"no alignment {self.alignment}")
         per = {
             "strict": {"min_trailing_support": five, "trailing_recursive": 99999999, "min_edge_support_sv": one, "remove_by_consensus": True, "edge_support_threshold": float(one)},
             "moderate": {"min_trailing_support": one, "trailing_recursive": 99999999, "min_edge_support_sv": one, "remove_by_consensus": False, "edge_support_threshold": float(one)},

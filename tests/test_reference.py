@@ -312,3 +312,99 @@ def test_end_to_end(spark, tmp_path):
     row = {x["name"]: x for x in res.matrix.collect()}
     assert row["name4"]["genome0"] == "g0_4" and row["name4"]["genome2"] == ""
     assert {x["seq_id"]: x["seq"] for x in res.reference.collect()}["name5"] == pool[5]
+
+
+def genome(path, contig, genes, names, comment=""):
+    """A GFF3 file of genes one after the other; those without a name are in the sequence but not annotated."""
+    seq, rows, at = "", [], 1
+    for dna, name in zip(genes, names):
+        if name:
+            rows.append(f"{contig}\tx\tCDS\t{at}\t{at + len(dna) - 1}\t.\t+\t0\tID={name};gene={name.split('_')[-1]};product=product of {name.split('_')[-1]}")
+        seq += dna + "GATTACA"
+        at = len(seq) + 1
+    path.write_text("##gff-version 3\n" + "\n".join(rows) + "\n##FASTA\n>" + contig + "\n" + seq + "\n")
+    return seq, rows
+
+
+def test_whole_run_refinds_a_gene_and_writes_all(spark, tmp_path):
+    """Five genomes as GFF3, a pair and a GenBank file; one annotation misses a gene that its sequence has."""
+    from strandloom.plans import pangenome
+    from strandloom.plans.options import Options
+
+    r = random.Random(7)
+    pool = [gene(r, 40 + 3 * i) for i in range(7)]
+    paths = []
+    for g in range(3):
+        names = [f"g{g}_n{i}" if (g, i) != (2, 3) else None for i in range(7)]
+        genome(tmp_path / f"genome{g}.gff", "c1", pool, names)
+        paths.append(str(tmp_path / f"genome{g}.gff"))
+    seq, rows = genome(tmp_path / "genome3.gff", "c1", pool, [f"g3_n{i}" for i in range(7)])
+    (tmp_path / "genome3.gff").write_text("##gff-version 3\n" + "\n".join(rows) + "\n")
+    (tmp_path / "genome3.fa").write_text(f">c1\n{seq}\n")
+    paths.append(f"{tmp_path}/genome3.gff {tmp_path}/genome3.fa")
+    features, at, whole = "", 1, ""
+    for i, dna in enumerate(pool):
+        features += f"     gene            {at}..{at + len(dna) - 1}\n                     /locus_tag=\"g4_n{i}\"\n                     /gene=\"n{i}\"\n     CDS             {at}..{at + len(dna) - 1}\n                     /locus_tag=\"g4_n{i}\"\n                     /gene=\"n{i}\"\n                     /product=\"product of n{i}\"\n"
+        whole += dna + "GATTACA"
+        at = len(whole) + 1
+    lines = "".join(f"{k + 1:9d} {whole[k:k + 60].lower()}\n" for k in range(0, len(whole), 60))
+    (tmp_path / "genome4.gbk").write_text(f"LOCUS       c1 {len(whole)} bp\nFEATURES             Location/Qualifiers\n{features}ORIGIN\n{lines}//\n")
+    paths.append(str(tmp_path / "genome4.gbk"))
+    (tmp_path / "list.txt").write_text("\n".join(paths) + "\n")
+    out = f"file://{tmp_path}/out"
+    res = pangenome.run(spark, [str(tmp_path / "list.txt")], Options(mode="moderate", alignment="core", codons=True, remove_by_consensus=True), out)
+    found = res.refound.collect()
+    assert [(x["genome"], x["dna_sequence"], x["clustering_id"]) for x in found] == [(2, pool[3], "2_refound_0")]
+    assert {x["name"]: x["size"] for x in res.nodes.collect()} == {f"n{i}": 5 for i in range(7)}
+    read = lambda name: [x["value"] for x in spark.read.text(f"{out}/{name}").collect()]
+    table = read("gene_presence_absence_roary.csv")
+    assert table[0].split(",")[:4] == ["Gene", "Non-unique Gene name", "Annotation", "No. isolates"] and table[0].split(",")[14:] == [f"genome{g}" for g in range(5)]
+    row = next(x for x in table if x.startswith("n3,")).split(",")
+    assert row[3] == "5" and row[16] == "2_refound_0" and row[14] == "g0_n3"
+    assert len(read("gene_presence_absence.csv")) == 8 and len(read("gene_data.csv")) >= 36
+    assert "Core genes\t(99% <= strains <= 100%)\t7" in read("summary_statistics.txt")
+    assert sum(x.startswith(">") for x in read("pan_genome_reference.fa")) == 7
+    final = "\n".join(read("final_graph.gml"))
+    assert final.count("node [") == 7 and final.count("edge [") == 7 and "\n".join(read("pre_filt_graph.gml")).count("node [") == 7
+    core = "\n".join(read("core_gene_alignment.aln")).split(">")[1:]
+    assert len(core) == 5 and all("".join(x.split("\n")[1:]) == "".join(dna if i == 3 else dna[:-3] for i, dna in enumerate(pool)) for x in core)  # codons of residues; the found gene fails the check and is aligned whole
+    assert len(read("core_alignment_header.embl")) >= 7 and len(read("alignment_entropy.csv")) >= 8
+    assert {x["class"]: x["n_nodes"] for x in res.classes.collect()}["core"] == 7
+    off = pangenome.run(spark, [str(tmp_path / "genome0.gff"), str(tmp_path / "genome2.gff")], Options(mode="sensitive", refind="off"))
+    assert {x["name"]: x["size"] for x in off.nodes.collect()}["n3"] == 1
+
+
+def test_cleaned_edges_stay_out_after_paralogs_merge(spark, tmp_path):
+    from strandloom.plans import pangenome
+    from strandloom.plans.options import Options
+
+    r = random.Random(9)
+    pool = [gene(r, 40 + 3 * i) for i in range(8)]
+    paths = []
+    for g in range(4):
+        order = [0, 1, 2, 3, 4, 5] if g < 3 else [0, 1, 2, 3, 4, 5, 6, 7]  # a tail that one genome has
+        genome(tmp_path / f"genome{g}.gff", "c1", [pool[i] for i in order], [f"g{g}_n{i}" for i in order])
+        paths.append(str(tmp_path / f"genome{g}.gff"))
+    res = pangenome.run(spark, paths, Options(mode="strict", merge_paralogs=True, refind="off"))
+    nodes = {x["node"] for x in res.nodes.collect()}
+    edges = res.edges.collect()
+    assert len(nodes) == 6 and len(edges) == 5 and all(x["u"] in nodes and x["v"] in nodes for x in edges)
+
+
+def test_floor_of_large_numbers(spark):
+    from strandloom.functions import text as X
+
+    rows = [(9007199254740993, 1), (-7, 2), (7, -2), (-8, 2), (5, 0), (None, 2)]
+    got = spark.createDataFrame(rows, "a long, b long").select("a", "b", X.floor_div(F.col("a"), F.col("b")).alias("q"), X.floor_mod(F.col("a"), F.col("b")).alias("r")).collect()
+    for x in got:
+        assert (x["q"], x["r"]) == ((None, None) if not x["b"] or x["a"] is None else divmod(x["a"], x["b"]))
+
+
+def test_all_genetic_codes():
+    import itertools
+
+    for code, diff in codons.DIFFERENCES.items():
+        table, own = codons.codon_table(code), dict(x.split("=") for x in diff.split())
+        every = ["".join(c) for c in itertools.product("TCAG", repeat=3)]
+        assert len(table) == 64 and all(table[c] == own.get(c, codons.STANDARD[i]) for i, c in enumerate(every))
+        assert codons.start_codons(code) == codons.STARTS[code].split() and set(codons.start_codons(code)) <= set(every)
