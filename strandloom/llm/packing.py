@@ -33,6 +33,9 @@ SLACK_MOST = 4
 #: Bytes of ids that a task holds before it hands them on.
 HELD_BYTES = 1 << 21
 
+#: Tasks whose offsets may be broadcast (times 1024 lengths at 16 bytes: 64 MB at most).
+BROADCAST_TASKS = 4096
+
 _engines: dict[str, "ByteBpe"] = {}
 
 
@@ -228,8 +231,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 def _ranked(pieces: DataFrame, offsets: DataFrame) -> DataFrame:
     """Ranks by the task's offsets. The ids stay where they are: the offsets of a task travel as one map."""
     maps = offsets.groupBy("task").agg(F.map_from_entries(F.collect_list(F.struct("length", "skip"))).alias("skips"))  # at most ``capacity`` entries
-    if offsets.select("task").distinct().count() <= 4096:
-        maps = F.broadcast(maps)  # 4096 tasks times 1024 lengths at 16 bytes: 64 MB at most
+    if offsets.select("task").distinct().count() <= BROADCAST_TASKS:
+        maps = F.broadcast(maps)
     joined = pieces.join(maps, "task")
     return joined.select("doc_id", "start", "length", "doc_tokens", "ids", (F.col("nth") + F.element_at("skips", F.col("length"))).alias("rank"))
 

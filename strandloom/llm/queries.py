@@ -107,7 +107,7 @@ CASE WHEN strlen(t) >= 1000 AND m <> page_id THEN m END AS refers_to FROM q""",
     "op6_url_filter": f"""WITH u AS (SELECT page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), '{_UPPER}', '{_LOWER}') AS host,
 coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages)
 SELECT page_id, host, path, CASE {" ".join(f"WHEN {_fits(h, p)} THEN '{h}{p}'" for h, p, _ in _RULES)} END AS rule,
-CASE {" ".join(f"WHEN {_fits(h, p)} THEN '{v}'" for h, p, v in _RULES)} {" ".join(f"WHEN {_fits(*x.split('/')[:1], '/')} THEN 'block'" for x in url_filter.LISTED)} ELSE 'allow' END AS verdict FROM u""",
+CASE {" ".join(f"WHEN {_fits(h, p)} THEN '{v}'" for h, p, v in _RULES)} {" ".join(f"WHEN host = '{x[:-1]}' OR host LIKE '%.{x[:-1]}' THEN 'block'" for x in url_filter.LISTED)} ELSE 'allow' END AS verdict FROM u""",
     "op10_jaccard_join": rf"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),

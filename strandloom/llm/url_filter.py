@@ -9,6 +9,7 @@ ones. The longest remaining rule wins.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandloom.llm import textkit as tk
+from strandloom.plans.snapshot import snapshot
 
 #: Size of the filter: blocks of 64 bytes by the number of keys, at most 64 MB.
 KEYS_A_BLOCK, BLOCKS_MOST, PROBES = 32, 1 << 20, 6
@@ -28,8 +30,13 @@ RULES = (
     ("example.com", "/de/", "block"),
     ("org", "/fr/", "allow"),
 )
-#: Listed hosts, blocked where no rule fits.
-LISTED = ("adult-x.example.com/", "cheap-pills.example.com/", "casino-win.example.com/")
+#: Listed hosts of the URL query, blocked where no rule fits: those of the kinds that block lists name (adult, pills, games, ads, spam).
+LISTED = ("adult-x.example.com/", "cheap-pills.example.com/", "casino-win.example.com/", "free-bets.example.com/", "ads-track.example.com/", "spam-farm.example.com/")
+#: Hit lists that may be broadcast to the pages; beyond it both sides are shuffled.
+BROADCAST_ROWS = 1 << 16
+
+
+_PORT, _PERCENT = re.compile(r":\d*$"), re.compile(r"%[0-9A-Fa-f]{2}")
 
 
 def split_url(url: str | None) -> tuple[str, str]:
@@ -46,6 +53,25 @@ def split_url(url: str | None) -> tuple[str, str]:
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host), rest[:end]
 
 
+def canonical(host: str, path: str) -> tuple[str, str]:
+    """What the list is asked for: no user, port or dots at the host's end; no dot segments in the path, percent codes in upper case."""
+    host = host.rpartition("@")[2]
+    host = _PORT.sub("", host).rstrip(".")
+    path = _PERCENT.sub(lambda m: m[0].upper(), path)
+    if "/." in path:
+        out: list[str] = []
+        parts = path.split("/")[1:] if path.startswith("/") else path.split("/")
+        for i, x in enumerate(parts):
+            if x == "..":
+                del out[-1:]
+            elif x != ".":
+                out.append(x)
+            if x in (".", "..") and i + 1 == len(parts):
+                out.append("")
+        path = "/" + "/".join(out)
+    return host, path or "/"
+
+
 def keys(host: str, path: str, lengths: tuple[int, ...]) -> list[str]:
     """Host suffixes at dots, with path prefixes of the lengths that listed paths have."""
     hosts = [host] + [host[i + 1 :] for i, c in enumerate(host) if c == "."]
@@ -101,21 +127,25 @@ def bloom(listed: DataFrame, n: int) -> np.ndarray:
 
 
 def listing(spark: SparkSession, rules=RULES, listed=LISTED) -> DataFrame:
-    """(key, verdict, is_rule) rows; any table of this shape will do, of any size."""
-    rows = [(h + p, v, True, len(p)) for h, p, v in rules] + [(x, "block", False, len(x) - x.index("/")) for x in listed]
+    """(key, verdict, is_rule, path_chars) rows of rules and canonical listed URLs; any table of this shape will do, of any size."""
+    urls = ["".join(canonical(*split_url("http://" + x))) for x in listed]
+    rows = [(h + p, v, True, len(p)) for h, p, v in rules] + [(x, "block", False, len(x) - x.index("/")) for x in urls]
     return spark.createDataFrame(rows, "key string, verdict string, is_rule boolean, path_chars int")
 
 
 def judge(urls: DataFrame, listed: DataFrame, row_id: str = "page_id", url: str = "url") -> DataFrame:
     """(page_id, host, path, rule, verdict) for every row.
 
-    ``rule`` is the longest rule that fits, else null. Without a rule, a URL
-    under a listed key is blocked, any other allowed. Null URLs and URLs
-    without ``://`` have an empty host and path and are allowed. Repeated rows
-    give repeated results; columns other than the two named are ignored.
+    ``rule`` is the longest rule that fits the host and path as they stand,
+    else null; of equal rules one counts. Without a rule, a URL whose canonical
+    form is under a listed key is blocked, any other allowed. Null URLs and
+    URLs without ``://`` have an empty host and path and are allowed. Repeated
+    rows give repeated results, an empty table none; columns other than the
+    two named are ignored, whatever their names.
     """
     sc = urls.sparkSession.sparkContext
     lengths = tuple(sorted(r[0] for r in listed.select("path_chars").distinct().collect()))  # path lengths, not rows
+    listed = listed.withColumn("key", F.concat(F.when(F.col("is_rule"), "r:").otherwise("l:"), "key"))
     shared = sc.broadcast((bloom(listed, listed.count()), lengths))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,7 +156,8 @@ def judge(urls: DataFrame, listed: DataFrame, row_id: str = "page_id", url: str
                 h, p = split_url(u)
                 hosts.append(h)
                 paths.append(p)
-                k = keys(h, p, lengths)
+                # rules are about the URL as it stands, the list about its canonical form
+                k = ["r:" + x for x in keys(h, p, lengths)] + ["l:" + x for x in keys(*canonical(h, p), lengths)]
                 own += k
                 rows += [i] * len(k)
             hits: list[list[str]] = [[] for _ in hosts]
@@ -138,9 +169,12 @@ def judge(urls: DataFrame, listed: DataFrame, row_id: str = "page_id", url: str
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(hits, pa.list_(pa.string()))], ["page_id", "host", "path", "hits"])
 
     seen = urls.select(F.col(row_id).alias("page_id"), F.col(url).cast("string").alias("u")).mapInArrow(probe, f"page_id {urls.schema[row_id].dataType.simpleString()}, host string, path string, hits array<string>")
+    seen = snapshot(seen, "url-seen")
     # what is looked up is the set of different hit lists, not the pages: few, however many pages share them
     asked = seen.select("hits").where(F.size("hits") > 0).distinct()
     exact = asked.select("hits", F.explode("hits").alias("key")).join(listed, "key")
-    best = exact.groupBy("hits").agg(F.max(F.when(F.col("is_rule"), F.struct(F.length("key").alias("n"), "key", "verdict"))).alias("r"), F.bool_or(~F.col("is_rule")).alias("l"))
+    best = snapshot(exact.groupBy("hits").agg(F.max(F.when(F.col("is_rule"), F.struct(F.length("key").alias("n"), F.substring("key", F.lit(3), F.length("key")).alias("key"), "verdict"))).alias("r"), F.bool_or(~F.col("is_rule")).alias("l")), "url-best")
+    if best.count() <= BROADCAST_ROWS:
+        best = F.broadcast(best)
     out = seen.join(best, "hits", "left")
     return out.select("page_id", "host", "path", F.col("r.key").alias("rule"), F.coalesce(F.col("r.verdict"), F.when(F.col("l"), "block"), F.lit("allow")).alias("verdict"))

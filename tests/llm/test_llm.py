@@ -169,6 +169,8 @@ def test_warc_round_trip(spark):
         assert (r["record_type"], r["refers_to"]) == (("revisit", f"urn:page:{large[t]}") if again else ("response", None))
         assert body[r["record_id"]] == (b"" if again else data)
     assert warc.read_archives(warc.write_archives(pages.limit(0))).count() == 0
+    clash = pages.where("page_id = 5").selectExpr("page_id", "url", "html", "1 as id", "2 as digest", "3 as page", "4 as p", "5 as refers_to")
+    assert warc.read_archives(warc.write_archives(clash)).count() == 1
 
 
 def test_op2_whole_table(spark):
@@ -231,6 +233,9 @@ def test_packing(spark, make):
         for (d, ids) in want:
             joined = [i for s in sorted(docs[d]) for i in docs[d][s][0]]
             assert tuple(joined) == ids and docs[d][0][1] == len(ids)
+    else:  # rows that repeat have as many pieces of each kind
+        pieces_ = collections.Counter((r["doc_id"], r["doc_tokens"], r["start"] + k, i) for r in got for k, i in enumerate(np.frombuffer(r["ids"], "<u4").tolist()))
+        assert pieces_ == collections.Counter((d, len(ids), k, i) for (d, ids), n in want.items() for _ in range(n) for k, i in enumerate(ids))
 
 
 def test_byte_bpe_equals_library():
@@ -330,6 +335,83 @@ def test_toxicity_models_equal_a_plain_model(spark):
         assert hi[i] == pytest.approx((n - take[min(n, 3)]) / max(of[x], 1))
 
 
+def test_quality_votes_equal_brute_force():
+    r = np.random.default_rng(3)
+    known, z, y = r.standard_normal((40, 5)).astype(np.float32), r.standard_normal((700, 5)).astype(np.float32), r.integers(0, 2, 40).astype(float)
+    known, z = quality._unit(known), quality._unit(z)
+    got = quality.vote(z, known, y, 7)
+    for i in range(len(z)):
+        sim = sorted(((float(z[i] @ k), v) for k, v in zip(known, y)), reverse=True)[:7]
+        w = [max(s, 1e-3) ** quality.SHARPNESS for s, _ in sim]
+        assert got[i] == pytest.approx(sum(a * v for a, (_, v) in zip(w, sim)) / sum(w), rel=1e-4)
+    same = np.array([[1, 0], [1, 0], [0, 1]], np.float32)
+    assert quality.vote(same[:1], same, np.array([1.0, 0.0, 0.0]), 2)[0] == pytest.approx(0.5)
+    x = r.standard_normal((50, 8)).astype(np.float32)
+    mean, proj = quality.fit_latent(x)
+    _, _, vt = np.linalg.svd(x - x.mean(0))
+    assert np.abs(np.abs((proj * vt.T).sum(0)) - 1).max() < 1e-3
+
+
+def test_quality_odd_rows(spark):
+    docs, labels = documents(spark, SMALL), spark.read.parquet(f"{SMALL}/labels.parquet")
+    more = docs.select("doc_id", "text").union(spark.createDataFrame([(10**6, None), (10**6 + 1, ""), (10**6 + 2, " \n"), (None, "same text"), (10**6 + 3, "same text")], "doc_id long, text string"))
+    out = {r["doc_id"]: r for r in quality.score_quality(more.withColumn("y", F.lit("x")).withColumn("o", F.lit(1)), labels).collect() if r["doc_id"] is None or r["doc_id"] >= 10**6}
+    train = [r["quality"] for r in labels.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1]
+    assert all(out[10**6 + k]["score"] == pytest.approx(np.mean(train)) for k in range(3))
+    assert out[None]["held_out"] and out[None]["score"] == out[10**6 + 3]["score"]
+    assert {r["score"] for r in quality.score_quality(odd(spark), spark.createDataFrame([], "doc_id long, quality int")).collect()} == {0.5}
+
+
+def test_shuffled_ways_give_the_same(spark, monkeypatch):
+    """Every switch between a broadcast and a shuffle, with the limit at nothing."""
+    from strandloom.llm import labels as labelled
+
+    docs, labels = documents(spark, TINY), spark.read.parquet(f"{TINY}/labels.parquet")
+    rows = lambda df: sorted((tuple(r) for r in df.collect()), key=str)
+    ways = [lambda: rows(labelled.with_label(docs, labels, "toxic")), lambda: rows(q.op6_url_filter(spark, TINY)), lambda: rows(q.op2_warc(spark, TINY)), lambda: rows(q.op4_packing(spark, TINY))]
+    before = [w() for w in ways]
+    for m, name in ((labelled, "BROADCAST_ROWS"), (url_filter, "BROADCAST_ROWS"), (warc, "BROADCAST_ROWS"), (packing, "BROADCAST_TASKS")):
+        monkeypatch.setattr(m, name, -1)
+    assert [w() for w in ways] == before
+
+
+def test_jaccard_regions_equal_all_pairs():
+    """The recursion finds the components of all links, at two thresholds."""
+    r = np.random.default_rng(8)
+    bases = [r.integers(0, 2**62, 60).astype(np.uint64) for _ in range(12)]
+    sets = []
+    for k in range(400):
+        b = bases[r.integers(12)].copy()
+        b[r.integers(0, 60, r.integers(0, 16))] = r.integers(0, 2**62)
+        sets.append(np.unique(np.concatenate([b, r.integers(0, 2**62, r.integers(0, 12)).astype(np.uint64)])))
+    tok, n = np.concatenate(sets), np.array([len(s) for s in sets])
+    off = np.concatenate([[0], np.cumsum(n)])
+    p = sets[0]
+    box = np.array([[1 - len(np.intersect1d(p, s)) / len(np.union1d(p, s))] for s in sets])
+    for t in ((75, 100), (60, 100)):
+        found = jaccard_join.region_join(np.arange(400), np.arange(400), np.arange(400), n, tok, off, t, box)
+        root = list(range(400))
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        want = list(range(400))
+        for a in range(400):
+            for b in range(a):
+                both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+                linked = t[1] * both >= t[0] * (n[a] + n[b] - both)
+                if linked:
+                    want = [want[a] if x == want[b] else x for x in want] if want[a] != want[b] else want
+        for a, b in found:
+            both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+            assert t[1] * both >= t[0] * (n[a] + n[b] - both)
+            root[find(a)] = find(b)
+        groups = lambda label: sorted(sorted(i for i in range(400) if label(i) == g) for g in {label(i) for i in range(400)})
+        assert groups(find) == groups(lambda i: want[i])
+
+
 def test_toxicity_odd_rows(spark):
     none_, one = spark.createDataFrame([], "doc_id long, toxic int"), spark.createDataFrame([(i, 1) for i in range(9)], "doc_id long, toxic int")
     scores = {r["score"] for r in toxicity.score_toxicity(odd(spark), none_).collect()}
@@ -344,19 +426,24 @@ def test_toxicity_odd_rows(spark):
 
 
 def test_url_filter(spark):
-    rows = [(i, u) for i, u in enumerate([None, "", "no-scheme/en/", "http://", "HTTP://WWW.Example.NET/en/x?y", "http://net", "http://net/", "ftp://a.net#x", "http://x.org/fr/", "http://x.org/fr", "https://example.com/de/1#t", "https://notexample.com/de/", "https://adult-x.example.com/de/", "https://w.adult-x.example.com/en/?a=b", "http://é.net/é", "://h.org/fr/a"])]
+    rows = [(i, u) for i, u in enumerate([None, "", "no-scheme/en/", "http://", "HTTP://WWW.Example.NET/en/x?y", "http://net", "http://net/", "ftp://a.net#x", "http://x.org/fr/", "http://x.org/fr", "https://example.com/de/1#t", "https://notexample.com/de/", "https://adult-x.example.com/de/", "https://w.adult-x.example.com/en/?a=b", "http://é.net/é", "://h.org/fr/a", "http://u:p@m.Free-Bets.example.com.:8080", "http://ads-track.example.com/../x", "http://example.com:80/de/", "http://example.com/en/../de/", "http://h/" + "x/" * 20_000])]
     rows.append(rows[-1])
     got = [tuple(r) for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string"), url_filter.listing(spark)).collect()]
 
     def one(i, u):
         h, p = url_filter.split_url(u)
         fit = [(len(a + b), a + b, v) for a, b, v in url_filter.RULES if (h == a or h.endswith("." + a)) and p.startswith(b)]
-        listed = any((h == x[:-1] or h.endswith("." + x[:-1])) and p.startswith("/") for x in url_filter.LISTED)
+        c = h.rpartition("@")[2].split(":")[0].rstrip(".")
+        listed = any(c == x[:-1] or c.endswith("." + x[:-1]) for x in url_filter.LISTED)
         return (i, h, p, max(fit)[1] if fit else None, max(fit)[2] if fit else ("block" if listed else "allow"))
 
     assert sorted(got) == sorted(one(*r) for r in rows)
     pages = spark.read.parquet(f"{SMALL}/pages.parquet").select("page_id", "url").collect()
     assert sorted(tuple(r) for r in q.op6_url_filter(spark, SMALL).collect()) == sorted(one(*r) for r in pages)
+    assert url_filter.canonical("a.b:80", "/x/./y/../z/%e4%2f") == ("a.b", "/x/z/%E4%2F") and url_filter.canonical("u@h.", "/a/..") == ("h", "/") and url_filter.canonical("h", "") == ("h", "/")
+    clash = spark.createDataFrame([(1, "http://a.scum/x", "k", 2, True)], "page_id long, url string, key string, hits int, verdict boolean")
+    paths = spark.createDataFrame([("scum/x", "block", False, 2), ("scum/x", "block", False, 2)], "key string, verdict string, is_rule boolean, path_chars int")
+    assert [tuple(r) for r in url_filter.judge(clash, paths).collect()] == [(1, "a.scum", "/x", None, "block")]
     many = spark.createDataFrame([(f"h{i}.com/", "block", False, 1) for i in range(5000)], "key string, verdict string, is_rule boolean, path_chars int")
     some = spark.createDataFrame([(i, f"http://a.h{i}.com/x") for i in range(0, 10_000, 7)], "page_id long, url string")
     assert {r["page_id"] for r in url_filter.judge(some, many).where("verdict = 'block'").collect()} == {i for i in range(0, 10_000, 7) if i < 5000}
