@@ -37,7 +37,7 @@ from strandloom.llm import textkit as tk
 
 SPACE = "▁"
 #: Words whose ids a worker keeps, cells of a table that are made at a time, bytes of text in a slice, and words of a length from which they advance together.
-WORDS_MOST, CELLS, SLICE, TOGETHER = 1 << 18, 1 << 21, 1 << 22, 48
+WORDS_MOST, CELLS, SLICE, TOGETHER = 1 << 18, 1 << 20, 1 << 21, 48
 #: Bits of the filter before the keys, and pairs of neighbours that a worker remembers for words on their own.
 FILTER, PAIRS_MOST = 1 << 20, 1 << 17
 _models: dict[str, "PieceModel"] = {}
