@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandloom.plans.snapshot import snapshot
+
 
 def gene_index(genes: DataFrame, contig: list[str], order: list[str], out: str = "pos") -> DataFrame:
     """Zero-based place of a gene on its contig."""
@@ -29,14 +31,17 @@ def contig_ends(genes: DataFrame, contig: list[str], pos: str, out: str = "has_e
     return genes.withColumn(out, F.lag(pos).over(w).isNull() | F.lead(pos).over(w).isNull())
 
 
-def numbered(rows: DataFrame, order: list[str], start: int | Column = 0, out: str = "id", buckets: int = 64) -> DataFrame:
+def numbered(rows: DataFrame, order: list[str], start: int | Column = 0, out: str = "id", buckets: int | None = None) -> DataFrame:
     """Consecutive numbers in a global order, without sending all rows to one task.
 
     Rows are dealt into ranges of the order, counted per range, numbered
     within their range, and moved by what the ranges before hold: the only
-    window over everything has a row for each range.
+    window over everything has a row for each range. The ranges are written
+    once, so both readings see the same ones. As many ranges as the session
+    has shuffle partitions, 64 at least.
     """
-    ranged = rows.repartitionByRange(buckets, *order).withColumn("_range", F.spark_partition_id())
+    buckets = buckets or max(64, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranged = snapshot(rows.repartitionByRange(buckets, *order).withColumn("_range", F.spark_partition_id()), "numbered")
     counts = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
     before = counts.withColumn("_skip", F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_range", "_skip")
     within = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1

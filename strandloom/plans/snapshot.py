@@ -19,9 +19,13 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+_made: list[str] = []
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path that no other run uses; removed when the JVM ends."""
+    """A path that no other run uses; removed when the JVM ends, if not before (see ``release``)."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
     jvm = spark.sparkContext._jvm
     place = jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
@@ -38,3 +42,17 @@ def snapshot(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def mark() -> int:
+    """How many paths there were so far, for ``release``."""
+    return len(_made)
+
+
+def release(spark: SparkSession, since: int) -> None:
+    """Delete what was written after ``since`` but the newest path: call it when that has all that is still needed."""
+    jvm = spark.sparkContext._jvm
+    for path in _made[since:-1]:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    del _made[since:-1]
