@@ -408,3 +408,19 @@ def test_all_genetic_codes():
         every = ["".join(c) for c in itertools.product("TCAG", repeat=3)]
         assert len(table) == 64 and all(table[c] == own.get(c, codons.STANDARD[i]) for i, c in enumerate(every))
         assert codons.start_codons(code) == codons.STARTS[code].split() and set(codons.start_codons(code)) <= set(every)
+
+
+def test_distances_of_many_pairs_equal_one_by_one():
+    r = random.Random(12)
+    for alphabet, wild in (("ACGTN", C.DNA_WILDCARDS), ("ACDEFGHIKLMNPQRSTVWYXBZ", C.PROTEIN_WILDCARDS)):
+        pairs = []
+        for _ in range(150):
+            a = "".join(r.choice(alphabet) for _ in range(r.choice([1, 20, 63, 64, 65, 130, 200])))
+            b = list(a) if r.random() < 0.5 else [r.choice(alphabet) for _ in range(r.choice([0, 10, 90, 210]))]
+            for _ in range(r.choice([0, 2, 9])):
+                b.insert(r.randrange(len(b) + 1), r.choice(alphabet))
+            pairs.append((a, "".join(b)))
+        got = C.infix_distances([a for a, _ in pairs], [b for _, b in pairs], wild)
+        assert got.tolist() == [C.infix_distance(a, b, wild)[0] for a, b in pairs]
+        dna = wild == C.DNA_WILDCARDS
+        assert C.identities(pairs, dna, 0.7).tolist() == [C.identity(a, b, dna, 0.7) for a, b in pairs]
