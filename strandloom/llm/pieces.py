@@ -469,38 +469,41 @@ def model(path: str) -> PieceModel:
     return _models[path]
 
 
-def encode(docs: DataFrame, model_path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), out: str = "ids") -> DataFrame:
-    """``keep`` columns and the ids of every whole text.
+def encode(docs: DataFrame, model_path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), out: str = "ids", decoded: str | None = None) -> DataFrame:
+    """``keep`` columns and the ids of every whole text; ``decoded`` names a column of the texts that the ids decode to, made in the same worker.
 
     Null and empty texts have no ids. Repeated rows are encoded each, equal
     texts alike; an empty table gives no rows. ``keep`` columns are passed on
     whatever their names; one named as ``out`` is an error of Spark's.
     """
-    return _apply(docs, text, keep, out, "array<int>", model_path, True)
+    return _apply(docs, text, keep, "string", [(out, "array<int>")] + ([(decoded, "string")] if decoded else []), model_path)
 
 
 def decode(docs: DataFrame, model_path: str, ids: str = "ids", keep: tuple[str, ...] = ("doc_id",), out: str = "decoded") -> DataFrame:
     """``keep`` columns and the text of every list of ids; a null or empty list gives an empty text. Other rows as in ``encode``."""
-    return _apply(docs, ids, keep, out, "string", model_path, False)
+    return _apply(docs, ids, keep, "array<int>", [(out, "string")], model_path)
 
 
-def _apply(docs: DataFrame, source: str, keep: tuple[str, ...], out: str, kind: str, path: str, forward: bool) -> DataFrame:
+def _apply(docs: DataFrame, source: str, keep: tuple[str, ...], taken: str, made: list[tuple[str, str]], path: str) -> DataFrame:
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     quoted = lambda c: F.col("`" + c.replace("`", "``") + "`")
-    inner = docs.select(quoted(source).cast("string" if forward else "array<int>").alias("_x"), *(quoted(c).alias(f"_{i}") for i, c in enumerate(keep)))
+    inner = docs.select(quoted(source).cast(taken).alias("_x"), *(quoted(c).alias(f"_{i}") for i, c in enumerate(keep)))
+    names = [*(f"_o{i}" for i in range(len(made))), *(f"_{i}" for i in range(len(keep)))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
         for b in batches:
-            x = b.column(0)
-            if forward:
+            x, out = b.column(0), []
+            if taken == "string":
                 off, ids = m.encode_column(x)
-                made = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(ids.astype(np.int32)))
+                out.append(pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(ids.astype(np.int32))))
             else:
                 many = pc.fill_null(pc.list_value_length(x), 0).to_numpy(zero_copy_only=False)
-                made = m.decode_column(np.concatenate([[0], np.cumsum(many)]), x.flatten().to_numpy(zero_copy_only=False).astype(np.int64)).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([made, *(b.column(i) for i in range(1, b.num_columns))], ["_x", *(f"_{i}" for i in range(len(keep)))])
+                off, ids = np.concatenate([[0], np.cumsum(many)]), x.flatten().to_numpy(zero_copy_only=False)
+            if made[-1][1] == "string":
+                out.append(m.decode_column(off, ids.astype(np.int64)).cast(pa.string()))
+            yield pa.RecordBatch.from_arrays([*out, *(b.column(i) for i in range(1, b.num_columns))], names)
         m.forget()
 
-    schema = ", ".join([f"_x {kind}", *(f"_{i} {kinds[c]}" for i, c in enumerate(keep))])
-    return inner.mapInArrow(run, schema).select(*(F.col(f"_{i}").alias(c) for i, c in enumerate(keep)), F.col("_x").alias(out))
+    schema = ", ".join([*(f"_o{i} {kind}" for i, (_, kind) in enumerate(made)), *(f"_{i} {kinds[c]}" for i, c in enumerate(keep))])
+    return inner.mapInArrow(run, schema).select(*(F.col(f"_{i}").alias(c) for i, c in enumerate(keep)), *(F.col(f"_o{i}").alias(c) for i, (c, _) in enumerate(made)))
