@@ -12,7 +12,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``; a temporary one only where it is unset and all runs on this machine."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         where = "file://" + tempfile.mkdtemp(prefix="strandloom-")
         spark.conf.set("spark.checkpoint.dir", where)

@@ -424,3 +424,28 @@ def test_distances_of_many_pairs_equal_one_by_one():
         assert got.tolist() == [C.infix_distance(a, b, wild)[0] for a, b in pairs]
         dna = wild == C.DNA_WILDCARDS
         assert C.identities(pairs, dna, 0.7).tolist() == [C.identity(a, b, dna, 0.7) for a, b in pairs]
+
+
+def test_sessions_and_small_text_functions(spark, tmp_path):
+    from strandloom.functions import text as X
+    from strandloom.operators import families
+    from strandloom.streaming.support import sessions
+
+    times = ["00:00", "00:10", "00:35", "02:00", "02:20"]
+    rows = spark.createDataFrame([(f"2024-01-01 {t}:00", g) for t in times for g in (1, 2)], "t string, genome int").select(F.to_timestamp("t").alias("t"), "genome")
+    rows.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    # append gives a session once the watermark has passed it; a batch table gives all
+    assert sorted(tuple(r) for r in sessions(rows, "t", "genome").select("genome", "n_genes").collect()) == [(1, 2), (1, 3), (2, 2), (2, 3)]
+    q = sessions(stream, "t", "genome", late="1 minute").writeStream.outputMode("append").format("memory").queryName("sessions").trigger(availableNow=True).start()
+    q.awaitTermination(60)
+    assert sorted((r["genome"], r["n_genes"]) for r in spark.table("sessions").collect()) in ([], [(1, 3), (2, 3)])
+    assert one(spark, S.strip_stop(F.col("s")), s="MK*") == "MK"
+    with pytest.raises(Exception, match="premature stop"):
+        one(spark, S.strip_stop(F.col("s")), s="M*K")
+    assert one(spark, X.name_to_first_dot(F.col("s")), s="/a/b.c.d") == "b" and len(one(spark, X.alignment_name(F.col("s")), s="x" * 300)) == 248
+    clusters = spark.createDataFrame([("a", "a", 3), ("b", "a", 1), ("c", "c", 2)], "k string, centroid string, o int")
+    assert {r["centroid"]: (r["members"], r["n"]) for r in C.ordered_members(clusters, "k", "o").collect()} == {"a": (["b", "a"], 2), "c": (["c"], 1)}
+    nodes = spark.createDataFrame([(1, 2, [1, 2], ["x"], True, False, (9, "x")), (2, 1, [3], ["y", "x"], False, True, (12, "y"))], "node long, size long, members array<long>, centroids array<string>, has_end boolean, paralog boolean, longest struct<length:int,id:string>")
+    r = families.merged_attributes(nodes, spark.createDataFrame([(1, 1), (2, 1)], "node long, merged long")).collect()
+    assert len(r) == 1 and (r[0]["node"], r[0]["size"], r[0]["members"], r[0]["has_end"], r[0]["paralog"], r[0]["longest"]["id"]) == (1, 3, [1, 2, 3], True, True, "y")
