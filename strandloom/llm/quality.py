@@ -24,6 +24,8 @@ from strandloom.llm.labels import fold, with_label
 SAMPLE = 4096
 TERMS, SHAPES, REPEATS, LATENT, NEIGHBOURS, BLOCK = 1 << 11, 1 << 8, 8, 64, 15, 512
 FOLDS, HELD_OUT = 3, 1
+#: Rounds of the block Krylov method at most.
+ROUNDS = 12
 WIDTH = TERMS + SHAPES + REPEATS
 #: Similarity to this power weighs a vote.
 SHARPNESS = 4
@@ -73,14 +75,46 @@ def term_vectors(texts: pa.Array) -> np.ndarray:
 
 
 def fit_latent(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(mean, projection) of the leading right singular vectors of the centred rows."""
-    mean = x.mean(0)
-    cov = np.zeros((x.shape[1], x.shape[1]))
-    for a in range(0, len(x), BLOCK):
-        z = (x[a : a + BLOCK] - mean).astype(np.float64)
-        cov += z.T @ z
-    _, vectors = np.linalg.eigh(cov)
-    return mean, vectors[:, ::-1][:, : min(LATENT, x.shape[1])].astype(np.float32)
+    """(mean, projection) of the leading right singular vectors of the centred rows.
+
+    Block Krylov: the rows' products with blocks of vectors, all held
+    orthogonal, until the leading ones settle. No matrix of all columns by all
+    columns is made, as the driver has little memory.
+    """
+    mean = x.mean(0, dtype=np.float64).astype(np.float32)
+    k = min(LATENT, x.shape[1])
+    if x.shape[1] <= 4 * LATENT:
+        cov = np.zeros((x.shape[1], x.shape[1]))
+        for a in range(0, len(x), BLOCK):
+            z = (x[a : a + BLOCK] - mean).astype(np.float64)
+            cov += z.T @ z
+        return mean, np.linalg.eigh(cov)[1][:, ::-1][:, :k].astype(np.float32)
+
+    def times(v: np.ndarray) -> np.ndarray:
+        out = np.zeros(v.shape)
+        for a in range(0, len(x), BLOCK):
+            z = (x[a : a + BLOCK] - mean).astype(np.float64)
+            out += z.T @ (z @ v)
+        return out
+
+    q = np.linalg.qr(np.random.default_rng(0).standard_normal((x.shape[1], k + 16)))[0]
+    last = None
+    for _ in range(ROUNDS):
+        base, block = [q], q
+        for _ in range(2):
+            block = times(block)
+            for _ in range(2):  # twice is enough to be orthogonal
+                for b in base:
+                    block -= b @ (b.T @ block)
+                block = np.linalg.qr(block)[0]
+            base.append(block)
+        basis = np.concatenate(base, axis=1)
+        values, turn = np.linalg.eigh(basis.T @ times(basis))
+        q, values = basis @ turn[:, ::-1][:, : k + 16], values[::-1][:k]
+        if last is not None and np.abs(values - last).max() <= 1e-9 * values[0]:
+            break
+        last = values
+    return mean, q[:, :k].astype(np.float32)
 
 
 def _unit(z: np.ndarray) -> np.ndarray:
@@ -125,11 +159,14 @@ def score_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", te
     rate = 0.5
     if last[1]:
         got = train.where(F.col("o") <= last[0]).select("t", "y", "o").mapInArrow(vectors, "x binary, y int, o long").orderBy("o", "x").limit(SAMPLE).collect()
-        x, y = np.array([np.frombuffer(r["x"], np.float16) for r in got], np.float32), np.array([r["y"] for r in got], np.float64)
+        x, y = np.empty((len(got), WIDTH), np.float16), np.array([r["y"] for r in got], np.float64)
+        for i, r in enumerate(got):
+            x[i] = np.frombuffer(r["x"], np.float16)
+        del got
         rate = float(y.mean())
         if 0 < y.sum() < len(y):
             mean, proj = fit_latent(x)
-            model = (mean, proj, _unit((x - mean) @ proj), y)
+            model = (mean, proj, _unit(np.concatenate([(x[a : a + BLOCK] - mean) @ proj for a in range(0, len(x), BLOCK)])), y)
     shared = sc.broadcast((model, rate))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -599,3 +599,19 @@ def test_warc_ids_that_repeat_with_other_payloads(spark):
     got = warc.read_archives(warc.write_archives(pages)).where("last").select("record_id", "record_type", "refers_to", "payload_bytes").collect()
     kinds = sorted((r["record_id"].split(":")[-1], r["record_type"], (r["refers_to"] or "").split(":")[-1]) for r in got)
     assert kinds == [("1", "response", ""), ("1", "revisit", "2"), ("1", "revisit", "3"), ("2", "response", ""), ("3", "response", "")]
+
+
+def test_quality_projection_without_a_square_matrix(monkeypatch):
+    r = np.random.default_rng(6)
+    x = (r.standard_normal((900, 120)) * np.linspace(8, 0, 120) @ r.standard_normal((120, 700)) + r.standard_normal((900, 700))).astype(np.float16)
+    mean, proj = quality.fit_latent(x)
+    z = x.astype(np.float64) - x.mean(0, dtype=np.float64)
+    want = np.linalg.svd(z, full_matrices=False)[2][: quality.LATENT]
+    assert np.linalg.svd(want @ proj, compute_uv=False).min() > 0.9999
+    assert np.abs(np.abs((proj.T * want).sum(1)) - 1).max() < 1e-3
+    import tracemalloc
+
+    tracemalloc.start()
+    quality.fit_latent(np.zeros((300, 2312), np.float16) + r.standard_normal((300, 1)).astype(np.float16))
+    assert tracemalloc.get_traced_memory()[1] < 2312 * 2312 * 8
+    tracemalloc.stop()
