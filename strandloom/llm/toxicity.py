@@ -1,6 +1,6 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-One model is counted from toxic training texts, one from as many ordinary
+One model is counted from all toxic training texts, one from all ordinary
 ones: P_c(v | u) = max(c(uv) - D2, 0) / c(u.) + L_c(u) P_c(v), with the
 continuation level P_c(v) = max(N_c(.v) - D1, 0) / N_c(..) + L_c P(v), where
 N_c(.v) counts the different words before v. The last backoff P(v) is the
@@ -18,10 +18,12 @@ level, in which a copy counts once; how much that is discounted
 (``DISCOUNTS``) is chosen, and the three numbers are mapped to 0..1 by a
 logistic function, on rows that the counts have not seen.
 
-Class counts come from at most ``FIT_ROWS`` rows of a class and ``FIT_BYTES``
-of text, those of smallest hashed doc_id. All documents are counted for P(v),
-in tables that Spark aggregates by hash range; they grow with the corpus, and
-only one number per word of the vocabulary reaches the driver.
+No row is left out: class counts come from every training row, P(v) from all
+documents, the logistic function from every calibration row. A word stands in
+one of ``SLOTS`` slots by its hash; words of a slot count as one. Pairs of
+slots are counted exactly, in tables that Spark aggregates by hash range and
+that grow with the corpus. The model is of fixed size: counts of pairs in
+``PAIRS`` slots, discounts and totals (from the exact counts) by word slot.
 """
 
 from __future__ import annotations
@@ -36,9 +38,11 @@ from pyspark.sql import functions as F
 
 from strandloom.llm import textkit as tk
 from strandloom.llm.labels import fold, with_label
+from strandloom.plans.snapshot import snapshot
 
-#: Bounds of the sample of a class, and of calibration rows (three numbers for each discount).
-FIT_ROWS, FIT_BYTES, CALIBRATION_ROWS = 1024, 1 << 24, 20_000
+#: Slots of words (a pair of them fits 40 bits; slot 0 is the begin of a text) and of pairs in the model, and slots that are summed together.
+SLOT_BITS = 20
+SLOTS, PAIRS, SLOTS_AT_ONCE = 1 << SLOT_BITS, 1 << 20, 1 << 13
 #: Of five folds by crc32: 0 is held out, 1 calibrates, 2-4 are counted.
 FOLDS, HELD_OUT, CALIBRATION = 5, 0, 1
 #: Discounts of the continuation level that are tried, and how many best words of a text are taken together.
@@ -59,8 +63,107 @@ def neighbours(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.nda
         yield before, h, first, row
 
 
+def word_slots(h: np.ndarray) -> np.ndarray:
+    """Slots of word hashes, 0 for the begin of a text."""
+    return np.where(h == BEGIN, 0, 1 + (h % np.uint64(SLOTS - 1)).astype(np.int64))
+
+
+def pair_slots(key: np.ndarray) -> np.ndarray:
+    """Slots of pairs, given as 40 bits."""
+    return (tk.mix(key.astype(np.uint64)) & np.uint64(PAIRS - 1)).astype(np.int64)
+
+
+def _bytes_of(x: np.ndarray, wide: int) -> np.ndarray:
+    """The low ``wide`` bytes of 64-bit numbers."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8)[:, :wide])
+
+
+def _numbers(chunks, wide: int) -> np.ndarray:
+    low = np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in chunks]).reshape(-1, wide)
+    out = np.zeros((len(low), 8), np.uint8)
+    out[:, :wide] = low
+    return out.view(np.uint64).ravel()
+
+
+def class_tables(rows: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts over all ``rows`` (t, y) with ``size`` bytes of text; first toxic, then ordinary.
+
+    (class, pair slot): how often its pairs stand there. (class, k, word
+    slot), of the exact pairs of word slots: k = 0 how often it is the word
+    before, 1-3 in how many pairs with count 1, 2 and more, 4 how many
+    different words it follows. (class, k): pairs with count k + 1, to four.
+    """
+    # values of half a megabyte and more would each take whole regions of the JVM's heap
+    ranges = 1 << min(max(5, (4 * size // WORD_BYTES // RANGE_WORDS).bit_length()), 14)
+    share = PAIRS // ranges
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+
+        def flush():
+            key, many = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            r = (pair_slots(key >> np.uint64(1)) // share).astype(np.int32)
+            order = np.argsort(r, kind="stable")
+            key, many, r = key[order], many[order].astype(np.uint32), r[order]
+            cut = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1], [True]])) if len(r) else [0]
+            low = _bytes_of(key, 6)
+            got = [(int(r[a]), low[a:b].tobytes(), many[a:b].tobytes()) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+            r, *rest = zip(*got, strict=True) if got else ((), (), ())
+            return pa.RecordBatch.from_arrays([pa.array(r, pa.int32()), *(pa.array(x, pa.binary()) for x in rest)], ["rng", "k", "many"])
+
+        for b in batches:
+            y = b.column(1).to_numpy(zero_copy_only=False)
+            for u, v, first, row in neighbours(b.column(0)):
+                kind = np.repeat(y[row : row + len(first) - 1] != 1, np.diff(first)).astype(np.uint64)
+                held.append(((word_slots(u) << SLOT_BITS | word_slots(v)).astype(np.uint64) << np.uint64(1)) | kind)
+                n += len(u)
+                if n >= COUNT_AT_ONCE:
+                    yield flush()
+                    n = 0
+        if held:
+            yield flush()
+
+    def count(g: pa.Table) -> pa.Table:
+        key, many = _numbers(g["k"], 6), np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in g["many"]])
+        key, own = np.unique(key, return_inverse=True)
+        c = np.bincount(own, many, len(key)).astype(np.int64)
+        kind, pair = (key & np.uint64(1)).astype(np.int64), key >> np.uint64(1)
+        u, v, slot = (pair >> np.uint64(SLOT_BITS)).astype(np.int64), (pair & np.uint64(SLOTS - 1)).astype(np.int64), pair_slots(pair)
+        dense = np.stack([np.bincount(slot[kind == k] % share, c[kind == k], share) for k in (0, 1)]).astype(np.float32)
+        often = np.stack([np.bincount(c[(kind == k) & (c <= 4)], minlength=5)[1:] for k in (0, 1)]).astype(np.int64)
+        at = np.union1d(u, v)
+        a, b = np.searchsorted(at, u), np.searchsorted(at, v)
+        of = np.zeros((len(at), 10), np.uint32)
+        for k in (0, 1):
+            for j, w in enumerate((c, c == 1, c == 2, c >= 3)):
+                of[:, 5 * k + j] = np.bincount(a[kind == k], w[kind == k], len(at))
+            of[:, 5 * k + 4] = np.bincount(b[kind == k], minlength=len(at))
+        out = [(-1, int(slot[0]) // share, dense.tobytes(), often.tobytes())] if len(slot) else []
+        cut = np.searchsorted(at, np.arange(0, SLOTS + 1, SLOTS_AT_ONCE))
+        out += [(i, 0, at[x:y].astype(np.uint32).tobytes(), of[x:y].tobytes()) for i, (x, y) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if x < y]
+        part, rng, x, y = zip(*out, strict=True) if out else ((), (), (), ())
+        return pa.table({"part": pa.array(part, pa.int32()), "rng": pa.array(rng, pa.int32()), "x": pa.array(x, pa.binary()), "y": pa.array(y, pa.binary())})
+
+    def total(g: pa.Table) -> pa.Table:
+        part = g["part"][0].as_py()
+        sums = np.zeros((SLOTS_AT_ONCE, 10))
+        for x, y in zip(g["x"], g["y"], strict=True):
+            sums[np.frombuffer(x.as_buffer(), np.uint32) - np.uint32(part * SLOTS_AT_ONCE)] += np.frombuffer(y.as_buffer(), np.uint32).reshape(-1, 10)
+        return pa.table({"part": pa.array([part], pa.int32()), "x": pa.array([np.ascontiguousarray(sums.T).astype(np.float32).tobytes()], pa.binary())})
+
+    counted = snapshot(rows.mapInArrow(emit, "rng int, k binary, many binary").groupBy("rng").applyInArrow(count, "part int, rng int, x binary, y binary"), "toxic-counts")
+    pairs, often, words = np.zeros((2, PAIRS), np.float32), np.zeros((2, 4), np.int64), np.zeros((2, 5, SLOTS), np.float32)
+    for r in counted.where("part < 0").toLocalIterator():
+        pairs[:, r["rng"] * share : (r["rng"] + 1) * share] = np.frombuffer(r["x"], np.float32).reshape(2, -1)
+        often += np.frombuffer(r["y"], np.int64).reshape(2, 4)
+    for r in counted.where("part >= 0").select("part", "x", "y").groupBy("part").applyInArrow(total, "part int, x binary").toLocalIterator():
+        words[:, :, r["part"] * SLOTS_AT_ONCE : (r["part"] + 1) * SLOTS_AT_ONCE] = np.frombuffer(r["x"], np.float32).reshape(2, 5, -1)
+    return pairs, words, often
+
+
 def class_counts(rows: DataFrame) -> tuple[np.ndarray, ...]:
-    """(word before, word, count in toxic, count in ordinary texts) of all pairs of the bounded sample ``rows``: (t, y)."""
+    """(word before, word, count in toxic, count in ordinary texts) of all pairs of ``rows`` (t, y), which must be few; ``class_tables`` counts any number."""
 
     def merge(u: np.ndarray, v: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         order = np.lexsort((v, u))
@@ -80,7 +183,7 @@ def class_counts(rows: DataFrame) -> tuple[np.ndarray, ...]:
             u, v, c = merge(*(np.concatenate(x) for x in zip(*held, strict=True)))
             yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (u, v, c)], ["u", "v", "c"])
 
-    got = rows.mapInArrow(count, "u binary, v binary, c binary").collect()  # FIT_BYTES of text a class at most
+    got = rows.mapInArrow(count, "u binary, v binary, c binary").collect()
     kinds = (("u", np.uint64), ("v", np.uint64), ("c", np.uint32))
     u, v, c = (np.concatenate([np.frombuffer(r[k], d) for r in got] or [np.zeros(0, d)]) for k, d in kinds)
     u, v, c = merge(u, v, c.reshape(-1, 2))
@@ -96,17 +199,19 @@ def _place(vocabulary: np.ndarray, words: np.ndarray) -> np.ndarray:
     return np.where(vocabulary[at] == words, at, len(vocabulary))
 
 
-def continuations(texts: DataFrame, vocabulary: np.ndarray, often: np.ndarray, size: int) -> np.ndarray:
+def continuations(texts: DataFrame, vocabulary: np.ndarray | None, often: np.ndarray, size: int) -> np.ndarray:
     """How many different words each word of the vocabulary follows in all texts (one string column of ``size`` bytes).
 
+    Without a vocabulary: how many different word slots each slot follows that ``often`` has.
     ``often``: share of a word among all words, by which frequent ones are parted over ranges.
     """
     ranges = max(4, int(size // WORD_BYTES // RANGE_WORDS))
     parts = np.maximum(1, np.ceil(4 * ranges * often)).astype(np.int64)
-    shared = texts.sparkSession.sparkContext.broadcast((vocabulary, parts))
+    shared = texts.sparkSession.sparkContext.broadcast((vocabulary, parts, often > 0))
+    wide = 5 if vocabulary is not None else 3
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, parts = shared.value
+        vocabulary, parts, some = shared.value
         held, n = [], 0
 
         def flush():
@@ -117,7 +222,7 @@ def continuations(texts: DataFrame, vocabulary: np.ndarray, often: np.ndarray, s
             order = np.argsort(r, kind="stable")  # keeps words together
             v, u, r = v[order], u[order], r[order]
             cut = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1], [True]])) if len(r) else [0]
-            low = np.ascontiguousarray(u.view(np.uint8).reshape(-1, 8)[:, :5])
+            low = _bytes_of(u, wide)
             rows = []
             for a, b in zip(cut[:-1], cut[1:], strict=True):
                 at = np.flatnonzero(np.concatenate([[True], v[a + 1 : b] != v[a : b - 1], [True]]))
@@ -128,9 +233,13 @@ def continuations(texts: DataFrame, vocabulary: np.ndarray, often: np.ndarray, s
 
         for b in batches:
             for u, v, _, _ in neighbours(b.column(0)):
-                at = _place(vocabulary, v)
-                ok = at < len(vocabulary)
-                held.append(np.unique((at[ok].astype(np.uint64) << np.uint64(40)) | (tk.mix(u[ok]) >> np.uint64(24))))
+                if vocabulary is None:
+                    at, u = word_slots(v), word_slots(u).astype(np.uint64)
+                    ok = some[at]
+                else:
+                    at, u = _place(vocabulary, v), tk.mix(u) >> np.uint64(24)
+                    ok = at < len(vocabulary)
+                held.append(np.unique((at[ok].astype(np.uint64) << np.uint64(40)) | u[ok]))
                 n += len(held[-1])
                 if n >= COUNT_AT_ONCE:
                     yield flush()
@@ -140,25 +249,33 @@ def continuations(texts: DataFrame, vocabulary: np.ndarray, often: np.ndarray, s
 
     def count(g: pa.Table) -> pa.Table:
         v, many = (np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in g[c]]) for c in ("v", "many"))
-        low = np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in g["u"]]).reshape(-1, 5)
-        wide = np.zeros((len(low), 8), np.uint8)
-        wide[:, :5] = low
-        key = np.unique(wide.view(np.uint64).ravel() | (np.repeat(v, many).astype(np.uint64) << np.uint64(40)))
+        key = np.unique(_numbers(g["u"], wide) | (np.repeat(v, many).astype(np.uint64) << np.uint64(40)))
         own, n = np.unique((key >> np.uint64(40)).astype(np.uint32), return_counts=True)
         return pa.table({"v": pa.array([own.tobytes()], pa.binary()), "n": pa.array([n.astype(np.int64).tobytes()], pa.binary())})
 
-    out = np.zeros(len(vocabulary), np.int64)
+    out = np.zeros(len(often), np.int64)
     for r in texts.mapInArrow(emit, "rng int, v binary, many binary, u binary").groupBy("rng").applyInArrow(count, "v binary, n binary").toLocalIterator():
         np.add.at(out, np.frombuffer(r["v"], np.uint32), np.frombuffer(r["n"], np.int64))
     return out
 
 
-def discounts(counts: np.ndarray) -> np.ndarray:
-    """What is taken from each count: three values for 1, 2 and more, by the usual estimate from counts of counts."""
-    n = [max(int(np.count_nonzero(counts == i)), 1) for i in (1, 2, 3, 4)]
+def discount_values(n: list[int]) -> np.ndarray:
+    """What is taken from counts of 0, 1, 2 and more, by the usual estimate from how often counts of 1 to 4 are."""
+    n = [max(int(x), 1) for x in n]
     y = n[0] / (n[0] + 2 * n[1])
-    d = [min(max(i - (i + 1) * y * n[i] / n[i - 1], 0.1 * i), 0.95 * i) for i in (1, 2, 3)]
-    return np.array([0.0, *d])[np.minimum(counts, 3)]
+    return np.array([0.0, *(min(max(i - (i + 1) * y * n[i] / n[i - 1], 0.1 * i), 0.95 * i) for i in (1, 2, 3))])
+
+
+def discounts(counts: np.ndarray) -> np.ndarray:
+    """What is taken from each count."""
+    return discount_values([np.count_nonzero(counts == i) for i in (1, 2, 3, 4)])[np.minimum(counts, 3)]
+
+
+def continuation_level(follows: np.ndarray, shared: np.ndarray, fixed: float | None = None) -> np.ndarray:
+    """P(v) of a class from how many different words each word follows in it; ``fixed``: its discount, else estimated."""
+    taken = np.minimum(follows, fixed) if fixed else np.where(follows > 0, discounts(follows), 0.0)
+    total = max(follows.sum(), 1)
+    return (follows - taken) / total + (taken.sum() / total if follows.any() else 1.0) * shared
 
 
 def class_model(u: np.ndarray, v: np.ndarray, c: np.ndarray, shared: np.ndarray, fixed: float | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -172,9 +289,7 @@ def class_model(u: np.ndarray, v: np.ndarray, c: np.ndarray, shared: np.ndarray,
     """
     some = c > 0
     follows = np.bincount(v[some], minlength=len(shared))
-    taken1 = np.minimum(follows, fixed) if fixed else np.where(follows > 0, discounts(follows), 0.0)
-    total = max(follows.sum(), 1)
-    p1 = (follows - taken1) / total + (taken1.sum() / total if some.any() else 1.0) * shared
+    p1 = continuation_level(follows, shared, fixed)
     taken2 = np.zeros(len(c))
     taken2[some] = discounts(c[some])
     of = np.bincount(u, c, minlength=len(shared) + 1)
@@ -182,42 +297,46 @@ def class_model(u: np.ndarray, v: np.ndarray, c: np.ndarray, shared: np.ndarray,
     return (c - taken2) / np.maximum(of[u], 1), back, p1
 
 
-def fit_ratios(u: np.ndarray, v: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray, vocabulary: np.ndarray, follows: np.ndarray) -> dict[str, np.ndarray]:
-    """Log ratios of toxic to ordinary: of pairs, of words before and words where a pair is unknown, and of words for each discount."""
-    shared = np.maximum(follows, 1) / max(np.maximum(follows, 1).sum(), 1)
-    a, b = _place(vocabulary, u), _place(vocabulary, v)
-    (hi_t, back_t, p_t), (hi_o, back_o, p_o) = (class_model(a, b, c, shared) for c in (toxic, ordinary))
-    pair = np.log(hi_t + back_t[a] * p_t[b]) - np.log(hi_o + back_o[a] * p_o[b])
-    key = (a.astype(np.uint64) << np.uint64(32)) | b.astype(np.uint64)
-    order = np.argsort(key)
-    single = [np.log(t) - np.log(o) for t, o in ((class_model(a, b, c, shared, d)[2] for c in (toxic, ordinary)) for d in DISCOUNTS)]
-    return {
-        "vocabulary": vocabulary, "key": key[order], "pair": pair[order].astype(np.float32),
-        "before": (np.log(np.maximum(back_t, 1e-12)) - np.log(np.maximum(back_o, 1e-12))).astype(np.float32),
-        "word": np.append(np.log(p_t) - np.log(p_o), 0).astype(np.float32), "single": np.column_stack([np.append(x, 0) for x in single]).astype(np.float32),
-    }
+def fit_model(pairs: np.ndarray, words: np.ndarray, often: np.ndarray, follows: np.ndarray) -> dict[str, np.ndarray]:
+    """What ``features`` needs, by slot, toxic and ordinary side by side, of the tables of ``class_tables`` and the shared ``follows``.
+
+    ``seen``: words of training texts. ``pair``: discounted counts. ``share``:
+    one by the count of the word before. ``back``: backoff weights. ``p``:
+    continuation levels. ``single``: log ratios of those for each discount.
+    """
+    seen = words[:, 4].sum(0) > 0
+    shared = np.where(seen, np.maximum(follows, 1), 0) / max(np.where(seen, np.maximum(follows, 1), 0).sum(), 1)
+    out = {"seen": seen, "pair": np.empty((PAIRS, 2), np.float32), "single": np.zeros((SLOTS, len(DISCOUNTS)), np.float16)}
+    out |= {k: np.empty((SLOTS, 2), np.float32) for k in ("share", "back", "p")}
+    for k in (0, 1):
+        taken, of = discount_values(often[k]), words[k, 0]
+        out["pair"][:, k] = pairs[k] - taken.astype(np.float32)[np.minimum(pairs[k], 3).astype(np.int8)]
+        out["share"][:, k] = np.where(of > 0, 1 / np.maximum(of, 1), 0)
+        out["back"][:, k] = np.where(of > 0, (taken[1:].astype(np.float32) @ words[k, 1:4]) / np.maximum(of, 1), 1)
+        out["p"][:, k] = continuation_level(words[k, 4].astype(np.int64), shared)
+    toxic, ordinary = (words[k, 4].astype(np.int64) for k in (0, 1))
+    for d, fixed in enumerate(DISCOUNTS):
+        out["single"][seen, d] = np.log(continuation_level(toxic, shared, fixed)[seen] / continuation_level(ordinary, shared, fixed)[seen])
+    return out
 
 
 def features(texts: pa.Array, model: dict[str, np.ndarray], picks: tuple[int, ...]) -> np.ndarray:
     """Rows of (mean over the text by pairs; for each of the picked discounts the best word and the mean of the best ones) per text; zeros without words."""
-    out, size = [], len(model["vocabulary"])
+    out = []
     for u, h, first, _ in neighbours(texts):
         n = np.diff(first)
         f = np.zeros((len(n), 1 + 2 * len(picks)))
         some = np.flatnonzero(n > 0)
         if len(some):
             start = first[:-1][some]
-            v = _place(model["vocabulary"], h)
-            before = np.full(len(v), size)
-            before[1:] = v[:-1]
-            before[start] = size
-            r = np.where(v < size, model["before"][before] + model["word"][v], 0.0)
-            if len(model["key"]):
-                key = (before.astype(np.uint64) << np.uint64(32)) | v.astype(np.uint64)
-                at = np.searchsorted(model["key"], key)
-                at[at == len(model["key"])] = 0
-                # a word out of the vocabulary is no context, and not the begin of a text
-                r = np.where((model["key"][at] == key) & ((before < size) | (u == BEGIN)), model["pair"][at], r)
+            a, v = word_slots(u), word_slots(h)
+            seen = np.flatnonzero(model["seen"][v])
+            b, c = a[seen], v[seen]
+            # a word before that no training text has is no context: its share is 0, its weight 1
+            x = model["pair"][pair_slots(b << SLOT_BITS | c)] * model["share"][b]
+            x = np.log(np.maximum(np.minimum(x, 1) + model["back"][b] * model["p"][c], 1e-30))
+            r = np.zeros(len(v))
+            r[seen] = x[:, 0] - x[:, 1]
             f[some, 0] = np.add.reduceat(r, start) / n[some]
             row = np.repeat(np.arange(len(n)), n)
             few = np.arange(len(v)) - np.repeat(first[:-1], n) < BEST
@@ -230,34 +349,60 @@ def features(texts: pa.Array, model: dict[str, np.ndarray], picks: tuple[int, ..
     return np.concatenate(out) if out else np.zeros((0, 1 + 2 * len(picks)))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(mean, scale, weights with the intercept last) by Newton steps; one class only gives its rate."""
-    mean, scale = (x.mean(0), np.maximum(x.std(0), 1e-9)) if len(x) else (np.zeros(x.shape[1]), np.ones(x.shape[1]))
-    z = np.column_stack([(x - mean) / scale, np.ones(len(x))])
-    w = np.zeros(z.shape[1])
-    rate = min(max((y.sum() + 0.5) / (len(y) + 1), 1e-3), 1 - 1e-3)
-    w[-1] = math.log(rate / (1 - rate))
-    if 0 < y.sum() < len(y):
-        for _ in range(50):
-            p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-            pull = np.append(np.full(len(w) - 1, ridge * len(y) ** 0.5), 1e-6)
-            step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + np.diag(pull), z.T @ (y - p) - pull * w)
-            w += np.clip(step, -4, 4)
-            if np.abs(step).max() < 1e-6:
-                break
-    return mean, scale, w
-
-
-def _sample(rows: DataFrame, bytes_most: int) -> int | None:
-    """The largest hash of the sample of ``rows`` (o, t): at most FIT_ROWS of the smallest hashes, within ``bytes_most`` unless the first alone is larger."""
-    got = rows.select("o", F.octet_length("t").alias("n")).orderBy("o").limit(FIT_ROWS).collect()
-    size, last = 0, None
-    for r in got:
-        size += r["n"] or 0
-        if last is not None and size > bytes_most:
+def fit_logistic(rows: DataFrame, names: list[str], picks: list[list[int]], ridge: float = 1e-2) -> list[tuple[float, np.ndarray, np.ndarray, np.ndarray]]:
+    """(mean loss, mean, scale, weights with the intercept last) for each pick of the columns ``names``, over all ``rows`` with y.
+
+    Newton steps: tasks add up slopes and curvatures, the driver only steps.
+    One class only gives its rate.
+    """
+    wide = len(names)
+
+    def summed(f) -> np.ndarray:
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            got = None
+            for b in batches:
+                x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in b.columns]).astype(np.float64)
+                if len(x):
+                    now = f(x[:, :-1], x[:, -1])
+                    got = now if got is None else got + now
+            if got is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([got.tobytes()], pa.binary())], ["s"])
+
+        parts = [np.frombuffer(r["s"]) for r in rows.select(*names, "y").mapInArrow(add, "s binary").collect()]  # a short array a task
+        return np.sum(parts, axis=0) if parts else np.zeros(0)
+
+    one = summed(lambda x, y: np.concatenate([[len(y), y.sum()], x.sum(0)]))
+    n, good, mean = (one[0], one[1], one[2:] / one[0]) if len(one) else (0.0, 0.0, np.zeros(wide))
+    scale = np.maximum(np.sqrt(summed(lambda x, y: ((x - mean) ** 2).sum(0)) / n), 1e-9) if n else np.ones(wide)
+    rate = min(max((good + 0.5) / (n + 1), 1e-3), 1 - 1e-3)
+    ws = [np.append(np.zeros(len(p)), math.log(rate / (1 - rate))) for p in picks]
+    if not 0 < good < n:
+        return [(0.0, mean[p], scale[p], w) for p, w in zip(picks, ws, strict=True)]
+
+    def curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        out = []
+        for pick, w in zip(picks, ws, strict=True):
+            z = np.column_stack([((x - mean) / scale)[:, pick], np.ones(len(x))])
+            t = np.clip(z @ w, -30, 30)
+            p = 1 / (1 + np.exp(-t))
+            out += [[np.log1p(np.exp(np.where(y == 1, -t, t))).sum()], z.T @ (y - p), ((z * (p * (1 - p))[:, None]).T @ z).ravel()]
+        return np.concatenate(out)
+
+    for _ in range(50):
+        got, at, most, losses = summed(curve), 0, 0.0, []
+        for i, w in enumerate(ws):
+            k = len(w)
+            slope, bend = got[at + 1 : at + 1 + k], got[at + 1 + k : at + 1 + k + k * k].reshape(k, k)
+            losses.append(got[at] / n)
+            at += 1 + k + k * k
+            pull = np.append(np.full(k - 1, ridge * n**0.5), 1e-6)
+            step = np.clip(np.linalg.solve(bend + np.diag(pull), slope - pull * w), -4, 4)
+            ws[i], most = w + step, max(most, np.abs(step).max())
+        if most < 1e-4:
             break
-        last = r["o"]
-    return last
+    # the order of sums is open, and so are the last digits
+    mean, scale, *ws = (np.array([float(f"{x:.8g}") for x in v]) for v in (mean, scale, *ws))
+    return [(loss, mean[p], scale[p], w) for loss, p, w in zip(losses, picks, ws, strict=True)]
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", text_hash: bool = False) -> DataFrame:
@@ -274,44 +419,35 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
     sc = docs.sparkSession.sparkContext
     rows = with_label(docs, labels, label, doc_id, text)
     f = fold(F.col("doc_id"), FOLDS)
-    train = rows.where(F.col("y").isNotNull() & ~f.isin(HELD_OUT, CALIBRATION)).withColumn("o", F.xxhash64("doc_id"))
-    last = {y: _sample(train.where(F.col("y") == y), FIT_BYTES) for y in (1, 0)}
-    chosen = train.where(" or ".join([f"(y = {y} and o <= {o})" for y, o in last.items() if o is not None] or ["false"]))
-    u, v, toxic, ordinary = class_counts(chosen.select("t", "y"))
-    vocabulary = np.unique(v)
-    if len(vocabulary) >= 1 << 24:
-        raise ValueError("the sample has more words than a key can number")
-    often = np.bincount(_place(vocabulary, v), toxic + ordinary, minlength=len(vocabulary)) / max(toxic.sum() + ordinary.sum(), 1)
-    t = docs.select(F.col(text).cast("string").alias("t"))
-    follows = np.zeros(0, np.int64)
-    if len(vocabulary):
-        follows = continuations(t, vocabulary, often, t.agg(F.sum(F.octet_length("t"))).first()[0] or 0)
-    ratios = sc.broadcast(fit_ratios(u, v, toxic, ordinary, vocabulary, follows))
-    del u, v, toxic, ordinary, follows
+    train = rows.where(F.col("y").isNotNull() & ~f.isin(HELD_OUT, CALIBRATION)).select("t", "y")
+    pairs, words, often = class_tables(train, train.agg(F.sum(F.octet_length("t"))).first()[0] or 0)
+    total = words[:, 0].sum(0, dtype=np.float64) + words[:, 4].sum(0)  # as the word before; the last words of texts are none
+    follows = np.zeros(SLOTS, np.int64)
+    if total.any():
+        t = docs.select(F.col(text).cast("string").alias("t"))
+        share = np.where(words[:, 4].sum(0) > 0, total, 0) / total.sum()
+        follows = continuations(t, None, share, t.agg(F.sum(F.octet_length("t"))).first()[0] or 0)
+    model = fit_model(pairs, words, often, follows)
+    del pairs, words, total, follows
+    shared = sc.broadcast(model)
+    del model  # workers and the disk have it
     every = tuple(range(len(DISCOUNTS)))
     names = [f"x{i}" for i in range(1 + 2 * len(every))]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = features(b.column(0), ratios.value, every)
-            yield pa.RecordBatch.from_arrays([*(pa.array(x[:, i]) for i in range(x.shape[1])), b.column(1), b.column(2)], [*names, "y", "o"])
-
-    fit = rows.where((f == CALIBRATION) & F.col("y").isNotNull()).withColumn("o", F.xxhash64("doc_id"))
-    measured = fit.select("t", "y", "o").mapInArrow(measure, ", ".join(f"{n} double" for n in names) + ", y int, o long").orderBy("o").limit(CALIBRATION_ROWS)
-    got = measured.select(*names, "y").toPandas().to_numpy(np.float64)
-    y, best = got[:, -1], None
-    for d in every:
-        x = got[:, [0, 1 + 2 * d, 2 + 2 * d]]
-        mean, scale, w = fit_logistic(x, y)
-        z = np.clip((x - mean) / scale @ w[:-1] + w[-1], -30, 30)
-        loss = float(np.mean(np.log1p(np.exp(np.where(y == 1, -z, z))))) if len(y) else 0.0
-        if best is None or loss < best[0]:
-            best = (loss, d, mean, scale, w)
-    _, pick, mean, scale, w = best
+            x = features(b.column(0), shared.value, every)
+            yield pa.RecordBatch.from_arrays([*(pa.array(x[:, i]) for i in range(x.shape[1])), b.column(1)], [*names, "y"])
+
+    fit = rows.where((f == CALIBRATION) & F.col("y").isNotNull()).select("t", "y")
+    measured = snapshot(fit.mapInArrow(measure, ", ".join(f"{n} double" for n in names) + ", y int"), "toxic-calibration")
+    fits = fit_logistic(measured, names, [[0, 1 + 2 * d, 2 + 2 * d] for d in every])
+    pick = min(every, key=lambda d: fits[d][0])
+    _, mean, scale, w = fits[pick]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = (features(b.column(2), ratios.value, (pick,)) - mean) / scale
+            x = (features(b.column(2), shared.value, (pick,)) - mean) / scale
             p = 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30)))
             more = [b.column(i) for i in range(3, b.num_columns)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(p), pa.array((p >= 0.5).astype(np.int32)), *more], ["doc_id", "held_out", "score", "predicted", "text_hash"][: 4 + len(more)])

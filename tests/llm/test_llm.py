@@ -601,6 +601,53 @@ def test_warc_ids_that_repeat_with_other_payloads(spark):
     assert kinds == [("1", "response", ""), ("1", "revisit", "2"), ("1", "revisit", "3"), ("2", "response", ""), ("3", "response", "")]
 
 
+def test_toxicity_counts_every_row(spark):
+    """Tables, model and logistic function over all rows against the plain ones; rows beyond any former bound have a say."""
+    docs = documents(spark, TINY).limit(80).collect()
+    rows = [(r["text"], int(i % 3 == 0)) for i, r in enumerate(docs)] + [("", 1), (None, 0)] + [(f"word{i} common", i % 2) for i in range(3000)]
+    df = spark.createDataFrame(rows, "t string, y int").repartition(7)
+    u, v, *counts = toxicity.class_counts(df)
+    a, b = toxicity.word_slots(u), toxicity.word_slots(v)
+    pairs, words_, often = toxicity.class_tables(df, 1 << 26)
+    merged = collections.defaultdict(lambda: [0, 0])
+    for x, y, m, n in zip(a.tolist(), b.tolist(), *counts):
+        merged[x, y][0] += m
+        merged[x, y][1] += n
+    key = np.array([x << toxicity.SLOT_BITS | y for x, y in merged])
+    x, y = np.array(list(merged)).T
+    assert pairs.sum(1).tolist() == [c.sum() for c in counts] and counts[0].sum() > 3000
+    for k in (0, 1):
+        c = np.array([n[k] for n in merged.values()])
+        assert (pairs[k] == np.bincount(toxicity.pair_slots(key), c, toxicity.PAIRS)).all()
+        assert often[k].tolist() == [int((c == i).sum()) for i in (1, 2, 3, 4)]
+        for j, w in enumerate((c, c == 1, c == 2, c > 2)):
+            assert (words_[k, j] == np.bincount(x, w, toxicity.SLOTS)).all()
+        assert (words_[k, 4] == np.bincount(y[c > 0], minlength=toxicity.SLOTS)).all()
+    follows = toxicity.continuations(df.select("t"), None, words_[:, 4].sum(0) / words_[:, 4].sum(), 1 << 26)
+    assert (follows == np.bincount(y, minlength=toxicity.SLOTS)).all()
+    model = toxicity.fit_model(pairs, words_, often, follows)
+    shared = follows / follows.sum()
+    for k in (0, 1):
+        c = np.array([n[k] for n in merged.values()])
+        hi, back, p = toxicity.class_model(np.where(x == 0, toxicity.SLOTS, x), y, c, shared)
+        alone = np.bincount(toxicity.pair_slots(key), minlength=toxicity.PAIRS)[toxicity.pair_slots(key)] == 1
+        got = model["pair"][toxicity.pair_slots(key), k] * model["share"][x, k]
+        assert alone.mean() > 0.9 and got[alone] == pytest.approx(hi[alone], rel=1e-4, abs=1e-7)
+        assert model["back"][x, k] == pytest.approx(back[np.where(x == 0, toxicity.SLOTS, x)], rel=1e-4)
+        assert model["p"][y, k] == pytest.approx(p[y], rel=1e-4)
+
+
+def test_toxicity_logistic_over_all_rows(spark):
+    r = np.random.default_rng(5)
+    x = r.standard_normal((30_000, 3)) * [1, 5, 0.1] + 2
+    y = (r.random(30_000) < 1 / (1 + np.exp(-(x @ [1.0, -0.3, 2.0] - 2)))).astype(int)
+    df = spark.createDataFrame([(*map(float, z), int(k)) for z, k in zip(x, y)], "a double, b double, c double, y int").repartition(5)
+    (loss, mean, scale, w), (_, _, _, w2) = toxicity.fit_logistic(df, ["a", "b", "c"], [[0, 1, 2], [1]], 0.0)
+    z = np.column_stack([(x - x.mean(0)) / x.std(0), np.ones(len(x))])
+    assert mean == pytest.approx(x.mean(0)) and scale == pytest.approx(x.std(0))
+    assert np.abs(z.T @ (y - 1 / (1 + np.exp(-z @ w)))).max() < 1e-2 and np.abs(z[:, [1, 3]].T @ (y - 1 / (1 + np.exp(-z[:, [1, 3]] @ w2)))).max() < 1e-2
+
+
 def test_quality_projection_without_a_square_matrix(monkeypatch):
     r = np.random.default_rng(6)
     x = (r.standard_normal((900, 120)) * np.linspace(8, 0, 120) @ r.standard_normal((120, 700)) + r.standard_normal((900, 700))).astype(np.float16)
