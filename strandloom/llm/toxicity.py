@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from strandloom.llm import textkit as tk
 from strandloom.llm.labels import fold, with_label
-from strandloom.plans.snapshot import snapshot
+from strandloom.plans.snapshot import mark, release, snapshot
 
 #: Slots of words (a pair of them fits 40 bits; slot 0 is the begin of a text) and of pairs in the model, and slots that are summed together.
 SLOT_BITS = 20
@@ -48,7 +48,7 @@ FOLDS, HELD_OUT, CALIBRATION = 5, 0, 1
 #: Discounts of the continuation level that are tried, and how many best words of a text are taken together.
 DISCOUNTS, BEST = (0.75, 2.0, 3.5, 5.0), 3
 #: Words a task counts at a time, and words aimed at in a hash range (``WORD_BYTES`` of text each).
-COUNT_AT_ONCE, RANGE_WORDS, WORD_BYTES = 1 << 19, 1 << 20, 6
+COUNT_AT_ONCE, RANGE_WORDS, WORD_BYTES = 1 << 20, 1 << 20, 6
 #: The hash that stands before the first word of a text.
 BEGIN = np.uint64(0)
 
@@ -78,8 +78,10 @@ def _bytes_of(x: np.ndarray, wide: int) -> np.ndarray:
     return np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8)[:, :wide])
 
 
-def _numbers(chunks, wide: int) -> np.ndarray:
-    low = np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in chunks]).reshape(-1, wide)
+def _numbers(chunks, wide: int, turned: bool = False) -> np.ndarray:
+    """Numbers of ``wide`` bytes; ``turned``: all first bytes, then all second ones and so on."""
+    low = np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in chunks])
+    low = low.reshape(wide, -1).T if turned else low.reshape(-1, wide)
     out = np.zeros((len(low), 8), np.uint8)
     out[:, :wide] = low
     return out.view(np.uint64).ravel()
@@ -108,7 +110,7 @@ def class_tables(rows: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray, np
             key, many, r = key[order], many[order].astype(np.uint32), r[order]
             cut = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1], [True]])) if len(r) else [0]
             low = _bytes_of(key, 6)
-            got = [(int(r[a]), low[a:b].tobytes(), many[a:b].tobytes()) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+            got = [(int(r[a]), low[a:b].T.tobytes(), many[a:b].tobytes()) for a, b in zip(cut[:-1], cut[1:], strict=True)]
             r, *rest = zip(*got, strict=True) if got else ((), (), ())
             return pa.RecordBatch.from_arrays([pa.array(r, pa.int32()), *(pa.array(x, pa.binary()) for x in rest)], ["rng", "k", "many"])
 
@@ -125,7 +127,8 @@ def class_tables(rows: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray, np
             yield flush()
 
     def count(g: pa.Table) -> pa.Table:
-        key, many = _numbers(g["k"], 6), np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in g["many"]])
+        # sorted numbers, byte by byte: the high bytes take no room when compressed
+        key, many = np.concatenate([_numbers([x], 6, True) for x in g["k"]]), np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in g["many"]])
         key, own = np.unique(key, return_inverse=True)
         c = np.bincount(own, many, len(key)).astype(np.int64)
         kind, pair = (key & np.uint64(1)).astype(np.int64), key >> np.uint64(1)
@@ -141,7 +144,7 @@ def class_tables(rows: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray, np
             of[:, 5 * k + 4] = np.bincount(b[kind == k], minlength=len(at))
         out = [(-1, int(slot[0]) // share, dense.tobytes(), often.tobytes())] if len(slot) else []
         cut = np.searchsorted(at, np.arange(0, SLOTS + 1, SLOTS_AT_ONCE))
-        out += [(i, 0, at[x:y].astype(np.uint32).tobytes(), of[x:y].tobytes()) for i, (x, y) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if x < y]
+        out += [(i, 0, at[x:y].astype(np.uint32).tobytes(), of[x:y].T.tobytes()) for i, (x, y) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if x < y]
         part, rng, x, y = zip(*out, strict=True) if out else ((), (), (), ())
         return pa.table({"part": pa.array(part, pa.int32()), "rng": pa.array(rng, pa.int32()), "x": pa.array(x, pa.binary()), "y": pa.array(y, pa.binary())})
 
@@ -149,9 +152,10 @@ def class_tables(rows: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray, np
         part = g["part"][0].as_py()
         sums = np.zeros((SLOTS_AT_ONCE, 10))
         for x, y in zip(g["x"], g["y"], strict=True):
-            sums[np.frombuffer(x.as_buffer(), np.uint32) - np.uint32(part * SLOTS_AT_ONCE)] += np.frombuffer(y.as_buffer(), np.uint32).reshape(-1, 10)
+            sums[np.frombuffer(x.as_buffer(), np.uint32) - np.uint32(part * SLOTS_AT_ONCE)] += np.frombuffer(y.as_buffer(), np.uint32).reshape(10, -1).T
         return pa.table({"part": pa.array([part], pa.int32()), "x": pa.array([np.ascontiguousarray(sums.T).astype(np.float32).tobytes()], pa.binary())})
 
+    since = mark()
     counted = snapshot(rows.mapInArrow(emit, "rng int, k binary, many binary").groupBy("rng").applyInArrow(count, "part int, rng int, x binary, y binary"), "toxic-counts")
     pairs, often, words = np.zeros((2, PAIRS), np.float32), np.zeros((2, 4), np.int64), np.zeros((2, 5, SLOTS), np.float32)
     for r in counted.where("part < 0").toLocalIterator():
@@ -159,6 +163,7 @@ def class_tables(rows: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray, np
         often += np.frombuffer(r["y"], np.int64).reshape(2, 4)
     for r in counted.where("part >= 0").select("part", "x", "y").groupBy("part").applyInArrow(total, "part int, x binary").toLocalIterator():
         words[:, :, r["part"] * SLOTS_AT_ONCE : (r["part"] + 1) * SLOTS_AT_ONCE] = np.frombuffer(r["x"], np.float32).reshape(2, 5, -1)
+    release(rows.sparkSession, since, keep=0)
     return pairs, words, often
 
 
