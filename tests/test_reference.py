@@ -449,3 +449,36 @@ def test_sessions_and_small_text_functions(spark, tmp_path):
     nodes = spark.createDataFrame([(1, 2, [1, 2], ["x"], True, False, (9, "x")), (2, 1, [3], ["y", "x"], False, True, (12, "y"))], "node long, size long, members array<long>, centroids array<string>, has_end boolean, paralog boolean, longest struct<length:int,id:string>")
     r = families.merged_attributes(nodes, spark.createDataFrame([(1, 1), (2, 1)], "node long, merged long")).collect()
     assert len(r) == 1 and (r[0]["node"], r[0]["size"], r[0]["members"], r[0]["has_end"], r[0]["paralog"], r[0]["longest"]["id"]) == (1, 3, [1, 2, 3], True, True, "y")
+
+
+def test_pieces_find_all_similar_pairs(spark):
+    """Pairs by pieces against all pairs: edits, both strands, containment, copies, short, wild and empty sequences, blocks."""
+    r = random.Random(12)
+    text = lambda n: "".join(r.choice("ACGT") for _ in range(n))
+    seqs = []
+    for n in (23, 30, 60, 150, 400, 900):
+        base = text(n)
+        for k in range(6):
+            s = list(base)
+            for _ in range(k * n // 200):
+                i = r.randrange(len(s))
+                s[i : i + 1] = r.choice(("", "A", "CG"))
+            s = "".join(s)
+            seqs += [s, C._rc(s) if k % 2 else text(5) + s + text(4)]
+        seqs += [base, base[: n // 2] + "N" * (n > 50) + base[n // 2 + 1 :]]
+    rows = [(f"s{i:03d}", s, f"b{i % 3}") for i, s in enumerate([*seqs, "", ""])]
+    df = spark.createDataFrame(rows, "k string, s string, b string").repartition(5)
+    plain = {(k, q): C.identity(s, t, True, 0.98) for k, s, _ in rows for q, t, _ in rows if k < q}
+    want = {p for p, i in plain.items() if i >= 0.98}
+    block = {k: b for k, _, b in rows}
+    for group in ([], ["b"]):
+        got = {(x["a"], x["b"]) for x in C.similar_pairs(df, group, "k", "s", 0.98, True, 7).collect()}
+        assert got == {p for p in want if not group or block[p[0]] == block[p[1]]} and len(got) > 100 / (1 + 2 * len(group))
+    reps, clusters = [], {}
+    for k, s, _ in sorted(rows, key=lambda x: (-len(x[1]), x[0])):
+        hit = next((q for q, t in reps if plain.get((min(k, q), max(k, q)), 0) >= 0.98), None)
+        if hit is None:
+            reps.append((k, s))
+        clusters[k] = hit or k
+    got = {x["k"]: x["centroid"] for x in C.greedy_clusters(df, "k", "s", 0.98, True, 7).collect()}
+    assert got == clusters
