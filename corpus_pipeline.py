@@ -7,6 +7,8 @@ stage's documents. Stages one to four return the columns of documents.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +18,7 @@ from strandloom.llm.packing import pack_documents
 from strandloom.llm.quality import score_quality
 from strandloom.llm.substring_dedup import deduplicate
 from strandloom.llm.toxicity import score_toxicity
-from strandloom.plans.session import bound_arrow_batches
+from strandloom.plans.session import bound_arrow_batches, give_back
 from strandloom.plans.snapshot import mark, release, snapshot
 
 #: Rejected rows (16 bytes each) that may be broadcast; beyond it both sides are shuffled.
@@ -28,6 +30,16 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def _written(make: Callable[[], DataFrame], spark: SparkSession, name: str) -> DataFrame:
+    """The result of ``make``, written; what it wrote on its way goes then, and the driver's unused memory before and after."""
+    give_back(spark)
+    since = mark()
+    out = snapshot(make(), name)
+    release(spark, since)
+    give_back(spark)
+    return out
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model doesn't reject.
 
@@ -36,13 +48,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     each, as are rows without an id. An empty table gives no rows. All columns
     stay, whatever their names.
     """
-    scored = snapshot(score_toxicity(docs, _labels(spark, sf_dir), text_hash=True).select("doc_id", "text_hash", "predicted"), "toxic-scores")
+    scored = _written(lambda: score_toxicity(docs, _labels(spark, sf_dir), text_hash=True).select("doc_id", "text_hash", "predicted"), spark, "toxic-scores")
     return _without(docs, scored.where("predicted = 1"))
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality vote doesn't reject. Null, empty and blank texts get the rate of good labels; other rows as in ``drop_toxic``."""
-    scored = snapshot(score_quality(docs, _labels(spark, sf_dir), text_hash=True).select("doc_id", "text_hash", "predicted"), "quality-scores")
+    scored = _written(lambda: score_quality(docs, _labels(spark, sf_dir), text_hash=True).select("doc_id", "text_hash", "predicted"), spark, "quality-scores")
     return _without(docs, scored.where("predicted = 0"))
 
 
@@ -66,7 +78,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     where no document of their group has one. An empty table gives no rows.
     """
     bound_arrow_batches(spark)
-    groups = snapshot(jaccard_components(docs, text_hash=True), "near-groups")
+    groups = _written(lambda: jaccard_components(docs, text_hash=True), spark, "near-groups")
     return _without(docs, groups.where("not (component_id <=> doc_id)"))
 
 

@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 
 from strandloom.llm import textkit as tk
 from strandloom.operators.graph import connected_components
+from strandloom.plans.session import give_back
 from strandloom.plans.snapshot import snapshot
 
 #: Shingles and sets that a task numbers together, and shingles aimed at in a hash range (an English word and a blank take ``WORD_BYTES``).
@@ -370,15 +371,18 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     their names. ``text_hash`` adds a hash of the text, which tells rows of
     one id apart.
     """
+    spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
     bits = max(3, int(size // WORD_BYTES // RANGE_ENTRIES).bit_length())
     shared = snapshot(_shared(_sent(docs, doc_id, text, bits), bits), "jj-shared")
     made = snapshot(_nodes(shared, threshold, 1 << max(3, bits - 2)), "jj-nodes")
+    give_back(spark)
     sets = snapshot(made.where("kind = 1").select("digest", "n", "tok").dropDuplicates(["digest"]), "jj-sets")
     cells = snapshot(_cells(made.where("kind = 2"), threshold).distinct(), "jj-cells")
     first = snapshot(_measure(cells, sets, threshold), "jj-round1")
     links = first.where("linked").select("x", "p")
     label = snapshot(connected_components(links, "x", "p"), "jj-label1")
+    give_back(spark)
 
     joining = snapshot(_blocks(cells, first, label, sets, threshold), "jj-round2")
     if not joining.isEmpty():

@@ -1,9 +1,14 @@
 """Each stage of the corpus pipeline works on what the one before kept."""
 
+import os
+
 import pytest
 
 import corpus_pipeline
+from strandloom.plans.session import give_back
+from strandloom.plans.snapshot import shared_dir
 
+TINY = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -75,3 +80,23 @@ def test_run_leaves_the_last_stage_alone(spark):
     got = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert got.count() > 0 and {x.split("-")[0] for x in set(os.listdir(where)) - before} == {"stage"}
     assert len(set(os.listdir(where)) - before) == 1
+
+
+def test_give_back_shrinks_the_driver(spark):
+    heap = spark._jvm.java.lang.management.ManagementFactory.getMemoryMXBean()
+    waste = spark.sparkContext._gateway.new_array(spark._jvm.long, 12_000_000)
+    used = heap.getHeapMemoryUsage().getUsed()
+    del waste
+    give_back(spark)
+    assert heap.getHeapMemoryUsage().getUsed() < used - 90_000_000
+
+
+def test_stages_give_back_and_leave_their_result_only(spark, monkeypatch):
+    docs, shared, calls = spark.read.parquet(f"{TINY}/documents.parquet"), shared_dir(spark).removeprefix("file://"), []
+    monkeypatch.setattr(corpus_pipeline, "give_back", lambda s: calls.append(s))
+    for stage, name in ((corpus_pipeline.drop_toxic, "toxic-scores"), (corpus_pipeline.drop_low_quality, "quality-scores"), (corpus_pipeline.one_of_each_group, "near-groups")):
+        was = set(os.listdir(shared))
+        calls.clear()
+        stage(spark, docs, TINY)
+        assert len(calls) == 2
+        assert [x.rsplit("-", 1)[0] for x in set(os.listdir(shared)) - was if not x.startswith(".")] == [name]
