@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from strandloom.llm import textkit as tk
 from strandloom.operators.graph import connected_components
 from strandloom.plans.session import give_back
-from strandloom.plans.snapshot import snapshot
+from strandloom.plans.snapshot import mark, release, snapshot
 
 #: Shingles and sets that a task numbers together, and shingles aimed at in a hash range (an English word and a blank take ``WORD_BYTES``).
 BLOCK_ENTRIES, BLOCK_NODES, RANGE_ENTRIES, WORD_BYTES = 1 << 20, 1 << 16, 400_000, 6
@@ -374,8 +374,10 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
     bits = max(3, int(size // WORD_BYTES // RANGE_ENTRIES).bit_length())
+    since = mark()
     shared = snapshot(_shared(_sent(docs, doc_id, text, bits), bits), "jj-shared")
     made = snapshot(_nodes(shared, threshold, 1 << max(3, bits - 2)), "jj-nodes")
+    release(spark, since)  # the nodes have all of it
     give_back(spark)
     sets = snapshot(made.where("kind = 1").select("digest", "n", "tok").dropDuplicates(["digest"]), "jj-sets")
     cells = snapshot(_cells(made.where("kind = 2"), threshold).distinct(), "jj-cells")

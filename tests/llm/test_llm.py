@@ -1,8 +1,11 @@
 """The ten operators against brute force, libraries and held-out labels, on whole small tables and odd rows."""
 
 import collections
+import glob
 import hashlib
+import os
 import re
+import time
 import zlib
 
 import numpy as np
@@ -12,6 +15,8 @@ from pyspark.sql import functions as F
 
 from strandloom.llm import fingerprints, jaccard_join, packing, pieces, quality, substring_dedup, toxicity, url_filter, vector_search, warc
 from strandloom.llm import queries as q
+from strandloom.llm.jaccard_join import jaccard_components
+from strandloom.plans.snapshot import shared_dir, snapshot
 
 SMALL, TINY = "/root/testdata/sf0.01", "/root/testdata/sf0.001"
 ODD = "doc_id long, text string, ids string, kept string, removed string, `a.b` int"
@@ -662,3 +667,31 @@ def test_quality_projection_without_a_square_matrix(monkeypatch):
     quality.fit_latent(np.zeros((300, 2312), np.float16) + r.standard_normal((300, 1)).astype(np.float16))
     assert tracemalloc.get_traced_memory()[1] < 2312 * 2312 * 8
     tracemalloc.stop()
+
+
+def shuffle_files(spark):
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {p: os.path.getsize(p) for d in dirs for p in glob.glob(f"{d.getPath()}/**/shuffle_*", recursive=True)}
+
+
+def test_jaccard_join_leaves_little_on_disk(spark):
+    docs, shared = documents(spark), shared_dir(spark).removeprefix("file://")
+    was, stages = shuffle_files(spark), set(os.listdir(shared))
+    result = jaccard_components(docs)  # the frame stays, so no collection of garbage may take its files
+    size = docs.selectExpr("sum(octet_length(text))").first()[0]
+    for _ in range(50):  # files go a moment after the plan has ended
+        left = sum(n for p, n in shuffle_files(spark).items() if p not in was)
+        if left < size // 20:
+            break
+        time.sleep(0.2)
+    assert left < size // 20
+    made = {x.rsplit("-", 1)[0] for x in set(os.listdir(shared)) - stages}
+    assert "jj-nodes" in made and "jj-shared" not in made
+    assert result.count() == docs.count()
+
+
+def test_snapshot_keeps_the_session_setting(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key, None)
+    df = snapshot(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count(), "kept")
+    assert spark.conf.get(key, None) == was and df.count() == 7
