@@ -482,3 +482,37 @@ def test_pieces_find_all_similar_pairs(spark):
         clusters[k] = hit or k
     got = {x["k"]: x["centroid"] for x in C.greedy_clusters(df, "k", "s", 0.98, True, 7).collect()}
     assert got == clusters
+
+
+def test_banded_distances_equal_infix_distances():
+    """Edits, both strands, containment, repeats and wildcards at four thresholds."""
+    r = random.Random(3)
+    for letters in ("ACGT", "AC", "AAAAAAC"):
+        text = lambda n: "".join(r.choice(letters) for _ in range(n))  # noqa: B023, E731
+        for threshold in C.DNA_THRESHOLDS:
+            pairs = []
+            for k in range(40):
+                n = r.choice((10, 24, 30, 60, 130, 300))
+                a = text(n)
+                s = list(a)
+                for _ in range(int(r.random() * 2 * (1 - threshold) * n + 0.5)):
+                    i = r.randrange(len(s))
+                    s[i : i + 1] = r.choice(("", "A", "CG", "T"))
+                b = text(k % 3 * r.randrange(30)) + "".join(s) + text(k % 3 * r.randrange(30)) + "A"
+                b = C._rc(b) if k % 2 else b
+                b = b[:5] + "N" + b[6:] if k % 7 == 0 else b
+                pairs.append((a, b) if k % 4 else (b, a))
+            want = [C.identity(a, b, True, threshold) for a, b in pairs]
+            got = C.near_identities(pairs, True, threshold, 7)
+            assert [w if w >= threshold else 0 for w in want] == [g if g >= threshold else 0 for g in got.tolist()] and max(want) >= threshold
+
+
+def test_pairs_of_one_common_passage_are_no_candidates(spark):
+    """Sequences that share a passage of a third are told apart before any text is compared; only copies of one are left."""
+    r = random.Random(21)
+    text = lambda n: "".join(r.choice("ACGT") for _ in range(n))
+    common = text(500)
+    seqs = [text(500) + common + text(500) for _ in range(40)]
+    rows = [(f"s{i:02d}", s) for i, s in enumerate([*seqs, seqs[0][:700] + "A" + seqs[0][700:]])]
+    near = C.candidates(spark.createDataFrame(rows, "k string, s string"), "k", "s", 7, 0.98, True, 0.98).collect()
+    assert [(x["a"], x["b"]) for x in near] == [("s00", "s40")]
