@@ -516,3 +516,13 @@ def test_pairs_of_one_common_passage_are_no_candidates(spark):
     rows = [(f"s{i:02d}", s) for i, s in enumerate([*seqs, seqs[0][:700] + "A" + seqs[0][700:]])]
     near = C.candidates(spark.createDataFrame(rows, "k string, s string"), "k", "s", 7, 0.98, True, 0.98).collect()
     assert [(x["a"], x["b"]) for x in near] == [("s00", "s40")]
+
+
+def test_short_rows_alone_ask_by_words(spark):
+    """Rows without enough pieces meet those that hold them; the others don't meet by the same words."""
+    r = random.Random(22)
+    text = lambda n: "".join(r.choice("ACGT") for _ in range(n))
+    short = text(18)
+    rows = [("short", short), *((f"s{i:02d}", text(300) + (short if i % 2 else C._rc(short)) + text(300)) for i in range(20))]
+    near = {(x["a"], x["b"]) for x in C.candidates(spark.createDataFrame(rows, "k string, s string"), "k", "s", 7, 0.98, True).collect()}
+    assert near == {("short", k) for k, _ in rows[1:]}
